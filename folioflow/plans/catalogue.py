@@ -89,12 +89,12 @@ def strip_sql(x: str) -> str:
 
 
 def tokens_sql(x: str) -> str:
-    return rf"list_filter(string_split_regex(lower({x}), '[^\p{{L}}\p{{N}}]+'), w -> w <> '')"
+    return rf"list_filter(string_split_regex(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 
 
 def summary_sql(x: str) -> str:
-    cut = f"list_transform(string_split_regex({x}, '[.!?。！？]'), s -> {strip_sql('s')})"
-    return f"coalesce(list_filter({cut}, s -> s <> '')[1], '')"
+    cut = f"list_transform(string_split_regex({x}, '[.!?。！？]'), lambda s: {strip_sql('s')})"
+    return f"coalesce(list_filter({cut}, lambda s: s <> '')[1], '')"
 
 
 def entities_sql(x: str) -> str:
@@ -428,7 +428,7 @@ def _model(batches):
     yield from per_page(ask, "metadata_raw")(batches)
 
 
-@query(rf"""WITH {PAGES}, shown AS (SELECT *, list_filter(string_split_regex(page_text, '[ \t\n\x0b\x0c\r]+'), w -> w <> '')[1] AS w FROM pages)
+@query(rf"""WITH {PAGES}, shown AS (SELECT *, list_filter(string_split_regex(page_text, '[ \t\n\x0b\x0c\r]+'), lambda w: w <> '')[1] AS w FROM pages)
 SELECT source_file, page_num, CASE WHEN page_text NOT LIKE 'A%' THEN w END AS summary,
   CASE WHEN page_text NOT LIKE 'A%' THEN 'page' END AS document_type,
   CASE WHEN page_text LIKE 'A%' THEN 'permanent' ELSE 'ok' END AS status FROM shown""")
@@ -468,7 +468,7 @@ def hash_embed(spark, sf):
 
 
 BYTE_PAIRS = """bytes AS (
-  SELECT page_id, list_transform(regexp_extract_all(hex(encode(html)), '..'), h -> ('0x' || h)::BIGINT) AS b FROM pages
+  SELECT page_id, list_transform(regexp_extract_all(hex(encode(html)), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM pages
 ), pairs AS (SELECT page_id, unnest(b[1:-2]) AS x, unnest(b[2:]) AS y FROM bytes
 ), pair_sum AS (SELECT page_id, (x * 256 + y) % 1408 AS dim, count(*)::DOUBLE AS s FROM pairs GROUP BY ALL
 ), pair_norm AS (SELECT page_id, sqrt(sum(s * s)) AS n FROM pair_sum GROUP BY page_id
@@ -484,7 +484,8 @@ def binary_embed(spark, sf):
 @query(f"""WITH {BYTE_PAIRS}, {hashed_sql('pages', 'page_id', 'url', 1408)}, both_sum AS (
   SELECT page_id, dim, sum(v) AS s FROM (SELECT * FROM pair_vec UNION ALL SELECT * FROM pages_vec) GROUP BY ALL
 ), both_norm AS (SELECT page_id, sqrt(sum(s * s)) AS n FROM both_sum GROUP BY page_id)
-SELECT page_id, dim, round(round(s / n, 4)::FLOAT, 4)::DOUBLE AS v FROM both_sum JOIN both_norm USING (page_id) WHERE round(s / n, 4) <> 0""")
+SELECT page_id, dim, round(round(s / n, 6)::FLOAT::DOUBLE, 4) AS v FROM both_sum JOIN both_norm USING (page_id)
+WHERE round(round(s / n, 6)::FLOAT::DOUBLE, 4) <> 0""")
 def multimodal_embed(spark, sf):
     """Bytes and text in one vector, shown to four digits: the parts are single precision."""
     raw = fx.table(spark, sf, "pages").select("page_id", F.encode("html", "UTF-8").alias("image"), F.col("url").alias("page_text"))
@@ -514,7 +515,7 @@ def vector_text(spark, sf):
 # ---------------------------------------------------------------- store
 
 
-@query("""SELECT vec_id, label, list_sum(list_transform(embedding, x -> x::DOUBLE)) IS NOT NULL AS has_text, round(embedding[1]::DOUBLE, 6) AS first_text,
+@query("""SELECT vec_id, label, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) IS NOT NULL AS has_text, round(embedding[1]::DOUBLE, 6) AS first_text,
   round(embedding[64]::DOUBLE, 6) AS first_image FROM embeddings""")
 def attach_vectors(spark, sf):
     vec = fx.vectors(spark, sf)
@@ -640,7 +641,7 @@ def ingest_report(spark, sf):
 
 
 def knn_sql(vec: str) -> str:
-    return f"""WITH v AS (SELECT vec_id, list_transform({vec}, x -> x::DOUBLE) AS e FROM embeddings
+    return f"""WITH v AS (SELECT vec_id, list_transform({vec}, lambda x: x::DOUBLE) AS e FROM embeddings
 ), d AS (SELECT a.vec_id AS qid, b.vec_id AS cid, round(list_distance(a.e, b.e), 6) AS dist FROM v a JOIN v b ON a.vec_id <> b.vec_id
 ), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, cid) AS rank FROM d)
 SELECT qid, cid, rank, dist FROM r WHERE rank <= 5"""
@@ -764,7 +765,7 @@ def _judge_model(batches):
         yield pd.DataFrame({"grade_raw": [json.dumps({"score": int(n), "reason": f"{n} words"}) if n != 4 else "score: 4" for n in scores]})
 
 
-@query(rf"""WITH {PAIRS}, told AS (SELECT qid, len(list_filter(string_split_regex(golden_answer, '[ \t\n\x0b\x0c\r]+'), w -> w <> '')) AS n FROM questions)
+@query(rf"""WITH {PAIRS}, told AS (SELECT qid, len(list_filter(string_split_regex(golden_answer, '[ \t\n\x0b\x0c\r]+'), lambda w: w <> '')) AS n FROM questions)
 SELECT qid AS question_id, CASE WHEN n <> 4 THEN n END AS score, CASE WHEN n <> 4 THEN n || ' words' END AS reason,
   CASE WHEN n <> 4 AND n BETWEEN 1 AND 5 THEN 'ok' ELSE 'bad_score' END AS status FROM told""")
 def judge_plugin(spark, sf):

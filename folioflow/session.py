@@ -21,6 +21,7 @@ RUNTIME_CONF = {
 def get_spark(master: str = "local[*]", shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session for tests and benches; on a cluster use the one spark-submit gives you."""
     builder = SparkSession.builder.master(master).appName("folioflow").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
