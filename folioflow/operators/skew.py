@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.session import checkpoint_root
+
 # At most this many keys can each own more than 1/HOT_KEYS of the rows, whatever the data.
 HOT_KEYS = 10_000
 SPREAD = 1_000
@@ -16,9 +18,12 @@ def attach_by_key(rows: DataFrame, stats: DataFrame, key: str, weight: str, spre
     ``weight`` is a column of ``stats`` that counts the rows of each key. Keys with more than
     1/HOT_KEYS of the total weight are at most HOT_KEYS in number, so that side is broadcast
     with a proven bound. All other keys are small and go through a shuffle join, in which the
-    rows of hot keys are spread evenly over partitions by ``spread_by``.
+    rows of hot keys are spread evenly over partitions by ``spread_by``. The stats are
+    checkpointed, because three parts of the plan read them.
     """
+    checkpoint_root(stats.sparkSession)
     values = [c for c in stats.columns if c != key]
+    stats = stats.checkpoint()
     packed = stats.select(key, F.struct(*values).alias("_stat"), F.col(weight).alias("_weight"))
     total = stats.agg(F.sum(weight)).scalar()
     hot = packed.filter(F.col("_weight") * HOT_KEYS > total).select(key, F.col("_stat").alias("_hot"))

@@ -667,7 +667,7 @@ def knn_second_vector(spark, sf):
 @query(ORACLE["knn_l2"])
 def knn_by_pivots(spark, sf):
     """The same through the path for query sets too large to broadcast."""
-    return _knn(spark, sf, broadcast_bytes=0)
+    return _knn(spark, sf, broadcast_bytes=0, block_rows=256)
 
 
 @query()

@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.binary import b64_encode
 from folioflow.operators.chunks import line_blocks
+from folioflow.sources.tables import read_spread
 
 BUCKET = "corpus"
 # Extension by doc_id mod 6.
 EXTENSIONS = [".pdf", ".PDF", ".png", ".xlsx", ".txt", ".pdf"]
 
 
+# Tables with enough work per row to be worth spreading when they come in one split.
+SPREAD = {"documents", "pages", "lineitem"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return read_spread(spark, path) if name in SPREAD else spark.read.parquet(path)
 
 
 def files(spark: SparkSession, sf: str) -> DataFrame:
