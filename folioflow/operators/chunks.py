@@ -64,7 +64,7 @@ def row_blocks(
         F.struct(F.col("_row").alias("row"), render_row(cells).alias("line")).alias("_line"),
     )
     grouped = lines.groupBy(part, "block").agg(
-        F.array_sort(F.collect_list("_line")).alias("_lines"), F.max("_line.row").cast("long").alias("last_row")
+        F.array_sort(F.collect_list("_line")).alias("_lines"), F.max("_line.row").cast("bigint").alias("last_row")
     )
     first = F.col("block") * n
     return grouped.select(

@@ -75,11 +75,13 @@ def done_prefixes(done: DataFrame, object_name: str = "object_name") -> DataFram
     return long_enough.select(F.explode(prefixes).alias("_prefix")).distinct()
 
 
-def skip_done(files: DataFrame, done: DataFrame, mode: str = "page", key: list[str] | None = None) -> DataFrame:
+def skip_done(
+    files: DataFrame, done: DataFrame, mode: str = "page", key: list[str] | None = None, at_hand: DataFrame | None = None
+) -> DataFrame:
     """What is still to do.
 
-    ``page`` drops the pages whose key is already there. The finished keys are first cut to the
-    source files at hand, which is a broadcast when those are few. ``prefix`` drops a file when
+    ``page`` drops the pages whose key is already there. With ``at_hand``, the source files of
+    this batch, the finished keys are first cut to those, which is a broadcast when they are few. ``prefix`` drops a file when
     any finished object's name starts with its page prefix; it takes a file with one finished
     page, or one whose name a finished page's name extends, for done.
     """
@@ -87,8 +89,9 @@ def skip_done(files: DataFrame, done: DataFrame, mode: str = "page", key: list[s
         named = files.withColumn("_prefix", page_prefix(F.col("name")))
         return named.join(done_prefixes(done), "_prefix", "left_anti").drop("_prefix")
     key = key or CHUNK_KEY
-    at_hand = files.select(key[0]).distinct()
-    finished = done.select(*key).join(at_hand, key[0], "left_semi")
+    finished = done.select(*key)
+    if at_hand is not None:
+        finished = finished.join(at_hand, key[0], "left_semi")
     return files.join(finished, key, "left_anti")
 
 

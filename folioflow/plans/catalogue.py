@@ -22,6 +22,7 @@ from folioflow.operators import metadata as om
 from folioflow.operators import search as ks
 from folioflow.operators import store as st
 from folioflow.plans import fixtures as fx
+from folioflow.plans.evaluation import evaluate
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
 from folioflow.session import scratch_path
 from folioflow.sources import events as se
@@ -327,7 +328,7 @@ LINE_CELLS_SQL = ", ".join(f"coalesce({c}::VARCHAR, '')" for c in LINE_CELLS)
 def _sheet(spark, sf, **options):
     sheet = fx.table(spark, sf, "lineitem")
     blocks = oc.drop_blank_blocks(oc.row_blocks(sheet, "l_returnflag", LINE_CELLS, LINE_CELLS, **options))
-    return blocks.withColumnRenamed("l_returnflag", "sheet").withColumn("last_row", F.col("last_row").cast("bigint"))
+    return blocks.withColumnRenamed("l_returnflag", "sheet")
 
 
 @query(sheet_sql("lineitem", "l_returnflag", ", ".join(LINE_CELLS), LINE_CELLS_SQL))
@@ -345,7 +346,7 @@ def sheet_blocks_sliced(spark, sf):
 def sheet_blocks_by_brand(spark, sf):
     cells = ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"]
     blocks = oc.row_blocks(fx.table(spark, sf, "part"), "p_brand", ["p_partkey"], cells)
-    return oc.drop_blank_blocks(blocks).withColumnRenamed("p_brand", "sheet").withColumn("last_row", F.col("last_row").cast("bigint"))
+    return oc.drop_blank_blocks(blocks).withColumnRenamed("p_brand", "sheet")
 
 
 @query(f"""WITH {PAGES} SELECT source_file, (page_num - 1) // 3 AS batch, count(*) AS n_pages,
@@ -780,11 +781,7 @@ RETRIEVED = f"""WITH {PAIRS}, {PAGES}, {PAGE_CHUNKS}, {retrieval_sql('questions'
 
 def _graded(spark, sf):
     """Question to vector, nearest page as answer, grade."""
-    questions = _questions(spark, sf)
-    asked = oe.embed_text(questions.select(F.col("question_id").alias("qid"), "question"), text="question")
-    hits = ks.knn(asked, _page_vectors(spark, sf), 5)
-    texts = fx.keyed_pages(spark, sf).withColumn("id", st.chunk_id())
-    return ov.judge(ov.answer(questions, hits, texts))
+    return evaluate(_questions(spark, sf), _page_vectors(spark, sf))
 
 
 @query(f"{RETRIEVED} SELECT question AS prompt, answer AS response, score AS evaluation_score, reason AS evaluation_reason FROM graded")
@@ -845,8 +842,8 @@ def upsert_store(spark, sf):
     folder = scratch_path(spark, "store")
     records = to_page_records(om.extract_metadata(_chunks(spark, sf)))
     for batch in (0, 1):
-        good, _ = ev.split_status(embed_pages(records, batch_id=batch))
-        sr.append_store(good, folder)
+        good, _ = ev.split_status(embed_pages(records))
+        sr.upsert_store(good, folder, batch)
     compact = scratch_path(spark, "store")
     st.compact_store(sr.read_store(spark, folder), compact)
     return _stored(sr.read_store(spark, compact))

@@ -17,7 +17,6 @@ from folioflow.functions.text import (
     route,
     source_uri,
 )
-from folioflow.functions.vectors import check_dim
 from folioflow.operators.chunks import BLOCK_ROWS, PAGE_BREAK
 from folioflow.operators.embed import embed_binary, embed_multimodal, embed_text
 from folioflow.operators.plugins import Plugin
@@ -98,20 +97,17 @@ def embed_pages(
             "page_text": F.when(has_summary, F.col("page_text")),
         }
     )
-    good, bad = ready.filter(has_summary), ready.filter(~has_summary)
+    # Without models there is nothing to spare: one pass, and a null summary gives a null vector.
+    no_models = text_fn is None and image_fn is None
+    good = ready if no_models else ready.filter(has_summary)
     vectored = embed_text(good, text_fn, text_dim, batch_rows=batch_rows)
-    if with_text:
-        vectored = embed_multimodal(vectored, image_fn, image_dim, batch_rows=batch_rows)
-    else:
-        vectored = embed_binary(vectored, image_fn, image_dim, batch_rows=batch_rows)
+    embed_second = embed_multimodal if with_text else embed_binary
+    vectored = embed_second(vectored, image_fn, image_dim, batch_rows=batch_rows)
     rows = check_store_row(to_store_row(vectored, batch_id), text_dim, image_dim)
+    missing = F.lit("no_summary" if no_models else "bad_text_embedding")
+    rows = rows.withColumn("status", F.when(F.col("text_embedding").isNull(), missing).otherwise(F.col("status")))
+    if no_models:
+        return rows
     no_vector = F.lit(None).cast("array<float>")
-    refused = to_store_row(bad.withColumns({"text_embedding": no_vector, "multimodal_embedding": no_vector}), batch_id)
-    return rows.withColumn("status", F.when(has_text_vector(text_dim), F.col("status")).otherwise("bad_text_embedding")).unionByName(
-        refused.withColumn("status", F.lit("no_summary"))
-    )
-
-
-def has_text_vector(dim: int = TEXT_DIM) -> Column:
-    """Rows with a summary always get a text vector."""
-    return check_dim(F.col("text_embedding"), dim)
+    refused = ready.filter(~has_summary).withColumns({"text_embedding": no_vector, "multimodal_embedding": no_vector})
+    return rows.unionByName(to_store_row(refused, batch_id).withColumn("status", F.lit("no_summary")))

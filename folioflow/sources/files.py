@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LISTING = "bucket string, name string, path string, length long"
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def keep_objects(listing: DataFrame, prefix: str = "", name: str = "name") -> DataFrame:
@@ -47,3 +48,16 @@ def read_binary(spark: SparkSession, root: str) -> DataFrame:
     """Whole objects as bytes: ``name, path, length, content``."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return found.select(_relative_name(F.col("path"), root).alias("name"), "path", "length", "content")
+
+
+def watch_files(spark: SparkSession, root: str, bucket: str | None = None, max_files: int | None = None) -> DataFrame:
+    """New objects below ``root`` as a stream of ``bucket, name, event_time``, without content."""
+    root = root.rstrip("/")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.load(root).select(
+        F.lit(bucket or root.rsplit("/", 1)[-1]).alias("bucket"),
+        _relative_name(F.col("path"), root).alias("name"),
+        F.col("modificationTime").alias("event_time"),
+    )

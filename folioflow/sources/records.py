@@ -51,6 +51,17 @@ def append_store(rows: DataFrame, folder: str) -> None:
     rows.select(*names).write.mode("append").parquet(folder)
 
 
+def upsert_store(rows: DataFrame, folder: str, batch_id: int | None = None) -> None:
+    """Load rows so that a key loaded before gets its new values.
+
+    Parquet has no merge: the rows are appended under their batch, and
+    :func:`folioflow.operators.store.latest_per_key` reads the newest row of each key, until
+    :func:`folioflow.operators.store.compact_store` rewrites the table. Loading a batch twice is
+    therefore harmless.
+    """
+    append_store(rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id).cast("long")), folder)
+
+
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """All appended rows; take :func:`folioflow.operators.store.latest_per_key` for the current ones."""
     return _read_or_empty(spark, folder, STORE, "parquet")

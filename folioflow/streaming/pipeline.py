@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.operators.events import classify_error, decode_events, dedupe_events, route_files, split_status
-from folioflow.operators.metadata import extract_metadata
+from folioflow.functions.text import source_uri
+from folioflow.operators.metadata import drop_failed, extract_metadata
 from folioflow.operators.plugins import Plugin
 from folioflow.operators.store import skip_done
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
@@ -23,8 +24,8 @@ from folioflow.sources.events import emit_backfill_events, read_events_stream
 from folioflow.sources.files import list_files
 from folioflow.sources.records import (
     CORRUPT,
-    append_store,
     read_page_keys,
+    upsert_store,
     write_page_keys,
     write_page_records,
     write_quarantine,
@@ -82,34 +83,45 @@ def from_folder(spark: SparkSession, root: str) -> Loader:
 def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin | None, page_lines: int | None, reprocess: bool) -> None:
     """One batch of decoded events: refuse, skip, split, describe, write."""
     spark = events.sparkSession
-    routed = route_files(events).persist()
-    good, refused = split_status(routed)
-    write_quarantine(refused, quarantine_dir(out), "event")
-    good = good.select("bucket", "name").distinct()
-    files = load(good)
-    lost = good.join(files.select("bucket", "name"), ["bucket", "name"], "left_anti")
-    write_quarantine(lost.withColumns({"status": F.lit("transient"), "error": F.lit("NotFound: no such object")}), quarantine_dir(out), "fetch")
-
-    chunks = build_chunks(files, page_lines)
-    todo = chunks if reprocess else skip_done(chunks, read_page_keys(spark, keys_dir(out)), "page")
-    # Written twice below, and a model's answer must be asked for once.
-    described = extract_metadata(todo, metadata_fn).persist()
-    if "error" in described.columns:
-        failed = described.filter(F.col("error").isNotNull()).withColumn("status", classify_error(F.col("error")))
-        write_quarantine(failed.drop("image"), quarantine_dir(out), "metadata")
-        described_ok = described.filter(F.col("error").isNull())
-    else:
-        described_ok = described
-    write_page_records(to_page_records(described_ok), records_dir(out))
-    # After the records: a crash in between repeats pages, it never loses one.
-    write_page_keys(described_ok, keys_dir(out))
-    described.unpersist()
-    routed.unpersist()
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist())
+        return held[-1]
+
+    try:
+        good, refused = split_status(hold(route_files(events)))
+        write_quarantine(refused, quarantine_dir(out), "event")
+        good = good.select("bucket", "name").distinct()
+        files = load(good)
+        lost = good.join(files.select("bucket", "name"), ["bucket", "name"], "left_anti")
+        not_found = {"status": F.lit("transient"), "error": F.lit("NotFound: no such object")}
+        write_quarantine(lost.withColumns(not_found), quarantine_dir(out), "fetch")
+
+        todo = build_chunks(files, page_lines)
+        if not reprocess:
+            at_hand = good.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file"))
+            todo = skip_done(todo, read_page_keys(spark, keys_dir(out)), "page", at_hand=at_hand)
+        if metadata_fn is None:
+            # The default metadata reads the pages more than once.
+            todo = hold(todo)
+        # Written twice below, and a model's answer must be asked for once.
+        described = hold(extract_metadata(todo, metadata_fn))
+        if "error" in described.columns:
+            failed = described.filter(F.col("error").isNotNull()).withColumn("status", classify_error(F.col("error")))
+            write_quarantine(failed.drop("image"), quarantine_dir(out), "metadata")
+            described = drop_failed(described)
+        write_page_records(to_page_records(described), records_dir(out))
+        # After the records: a crash in between repeats pages, it never loses one.
+        write_page_keys(described, keys_dir(out))
+    finally:
+        for df in held:
+            df.unpersist()
 
 
 def run_parse_stream(
     spark: SparkSession,
-    events_dir: str,
+    events_dir: str | DataFrame,
     load: Loader,
     out: str,
     checkpoint: str,
@@ -122,11 +134,15 @@ def run_parse_stream(
 ) -> StreamingQuery:
     """Stage 1: events to page records below ``out``.
 
-    ``dedupe_delay`` also drops redeliveries of one object inside that time, before any work; it
+    Events come from a folder of envelopes, or as a stream of ``bucket, name, event_time`` such
+    as :func:`folioflow.sources.files.watch_files` gives. ``dedupe_delay`` also drops redeliveries of one object inside that time, before any work; it
     does so for a new upload under the same name, too.
     """
-    decoded = decode_events(read_events_stream(spark, events_dir, max_files))
-    decoded = decoded.select("event_time", F.col("message.data").alias("data"), "bucket", "name", "status")
+    if isinstance(events_dir, DataFrame):
+        decoded = events_dir.select("event_time", "bucket", "name", F.lit("ok").alias("status"))
+    else:
+        decoded = decode_events(read_events_stream(spark, events_dir, max_files))
+        decoded = decoded.select("event_time", F.col("message.data").alias("data"), "bucket", "name", "status")
     if dedupe_delay:
         good, bad = split_status(decoded)
         decoded = dedupe_events(good, dedupe_delay).unionByName(bad)
@@ -147,11 +163,13 @@ def embed_records(
     readable = cached.filter(~broken).drop(CORRUPT).withColumn("part", F.coalesce("part", F.lit("")))
     # Used for the store and for the quarantine; the vectors are asked for once.
     rows = embed_pages(readable, text_fn, image_fn, with_text, batch_id=batch_id, batch_rows=batch_rows).persist()
-    good, refused = split_status(rows)
-    append_store(good, store)
-    write_quarantine(refused, quarantine_dir(out), "store")
-    rows.unpersist()
-    cached.unpersist()
+    try:
+        good, refused = split_status(rows)
+        upsert_store(good, store)
+        write_quarantine(refused, quarantine_dir(out), "store")
+    finally:
+        rows.unpersist()
+        cached.unpersist()
 
 
 def run_embed_stream(

@@ -65,6 +65,12 @@ def test_number_rows_with_a_hot_group(spark):
     assert plain.exceptAll(sliced).count() == 0 and sliced.count() == 5000
 
 
+def test_number_rows_with_one_order_value(spark):
+    df = spark.range(2000).select(F.lit("g").alias("g"), F.lit(1).alias("o"))
+    rows = [r.row for r in number_rows(df, ["g"], ["o"], slice_rows=100).collect()]
+    assert sorted(rows) == list(range(1, 2001))
+
+
 def test_attach_by_key_with_a_hot_key(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id") % 500).alias("k"), "id")
     stats = rows.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 7")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from folioflow.operators.plugins import per_page
 from folioflow.operators.store import latest_per_key
 from folioflow.sources.events import emit_backfill_events
-from folioflow.sources.files import list_files
+from folioflow.sources.files import list_files, watch_files
 from folioflow.sources.records import read_page_keys, read_page_records, read_store
 from folioflow.streaming import pipeline as sp
 
@@ -132,15 +132,15 @@ def test_vector_contract_in_stage_two(spark, tmp_path):
 
 
 def test_objects_from_a_folder(spark, tmp_path):
-    root = tmp_path / "store"
+    root = tmp_path / "objects"
     (root / "d").mkdir(parents=True)
     (root / "d" / "a.pdf").write_text("One.\fTwo.")
     (root / "i.png").write_bytes(b"\x89PNG\xff\x00")
     run = Run(spark, str(tmp_path))
-    listing = list_files(spark, str(root), bucket="b")
-    emit_backfill_events(listing.select("bucket", "name"), f"{run.base}/events")
+    assert list_files(spark, str(root), bucket="b").count() == 2
     image_model = per_page(lambda text, image: '{"summary": "img"}' if image is not None else '{"summary": "txt"}', "metadata_raw")
-    run.stage1(sp.from_folder(spark, str(root)), metadata_fn=image_model)
+    load, watched = sp.from_folder(spark, str(root)), watch_files(spark, str(root), "b")
+    sp.run_parse_stream(spark, watched, load, run.out, f"{run.base}/cp1", metadata_fn=image_model).awaitTermination()
     run.stage2()
     got = {r.source_file + str(r.page_num): r for r in read_store(spark, run.store).collect()}
     assert sorted(got) == ["gs://b/d/a.pdf1", "gs://b/d/a.pdf2", "gs://b/i.png0"]
