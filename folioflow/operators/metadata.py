@@ -5,29 +5,34 @@ The defaults are plain column rules and make no claim to a model's quality.
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.json import has_summary, parse_json_lenient, parse_json_strict, to_metadata_json
-from folioflow.functions.text import model_text, py_strip, tokens
+from folioflow.functions.text import PY_WHITESPACE, model_text, py_strip, tokens
 from folioflow.operators.plugins import Plugin, apply_plugin
 from folioflow.operators.skew import attach_by_key
 from folioflow.schemas import CHUNK_KEY, METADATA
 
 # Fixed values of the default rules.
-SENTENCE_END = "[.!?。！？]"
+SENTENCE_ENDS = ".!?。！？"
+# Name, pattern, and texts of which one must be there before the pattern is tried.
 ENTITY_PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "url": r"https?://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+",
-    "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
-    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    "amount": r"[$€£][0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?",
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", ["@"]),
+    "url": (r"https?://[A-Za-z0-9._~:/?#@!$&*+,;=%-]+", ["://"]),
+    "ip": (r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", ["."]),
+    "date": (r"[0-9]{4}-[0-9]{2}-[0-9]{2}", ["-"]),
+    "amount": (r"[$€£][0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?", ["$", "€", "£"]),
 }
 TYPE_RULES = [
-    ("contract", "agreement|contract|license|licence|copyright"),
-    ("technical report", "function|import |class |http|error|version"),
-    ("financial analysis", "revenue|profit|price|market|[$€£][0-9]"),
-    ("news article", "news|reported|said|today"),
+    ("contract", ["agreement", "contract", "license", "licence", "copyright"]),
+    ("technical report", ["function", "import ", "class ", "http", "error", "version"]),
+    ("financial analysis", ["revenue", "profit", "price", "market"]),
+    ("news article", ["news", "reported", "said", "today"]),
 ]
 DEFAULT_TYPE = "other"
 MAX_KEYWORDS = 5
@@ -35,35 +40,60 @@ KEYWORD_CHARS = 3
 
 
 def lead_summary(text: Column) -> Column:
-    """The first sentence that is not blank; empty when there is none."""
-    sentences = F.filter(F.transform(F.split(text, SENTENCE_END), py_strip), lambda s: s != "")
-    return F.coalesce(F.try_element_at(sentences, F.lit(1)), F.lit(""))
+    """The first sentence that is not blank; empty when there is none. Reads no further than that."""
+    first = f"^[{PY_WHITESPACE}{SENTENCE_ENDS}]*([^{SENTENCE_ENDS}]+)"
+    return py_strip(F.regexp_extract(text, first, 1))
+
+
+def _contains_any(text: Column, words: list[str]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(word)) for word in words])
 
 
 def pattern_entities(text: Column) -> Column:
     """Distinct e-mail addresses, links, IP addresses, dates and amounts, sorted."""
-    found = [F.regexp_extract_all(text, F.lit(pattern), F.lit(0)) for pattern in ENTITY_PATTERNS.values()]
+    none = F.array().cast("array<string>")
+    found = [
+        F.when(_contains_any(text, marks), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+        for pattern, marks in ENTITY_PATTERNS.values()
+    ]
     return F.array_sort(F.array_distinct(F.concat(*found)))
 
 
 def rule_type(text: Column) -> Column:
-    """The first rule that matches the lower-cased text."""
+    """The first rule of which a word is in the lower-cased text."""
     low = F.lower(text)
-    (first, pattern), *others = TYPE_RULES
-    chain = F.when(low.rlike(pattern), first)
-    for name, pattern in others:
-        chain = chain.when(low.rlike(pattern), name)
+    (first, words), *others = TYPE_RULES
+    chain = F.when(_contains_any(low, words), first)
+    for name, words in others:
+        chain = chain.when(_contains_any(low, words), name)
     return chain.otherwise(DEFAULT_TYPE)
 
 
+def token_counts(text: Column, min_chars: int = KEYWORD_CHARS) -> Column:
+    """``array<struct<word,tf>>``: the distinct tokens of a text with their counts."""
+
+    @F.arrow_udf("array<struct<word:string,tf:bigint>>")
+    def count(words: pa.Array) -> pa.Array:
+        lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        n_words = max(len(coded.dictionary), 1)
+        row = np.repeat(np.arange(len(words), dtype=np.int64), lengths)
+        pairs, tf = np.unique(row * n_words + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        entries = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % n_words)), pa.array(tf)], names=["word", "tf"])
+        per_row = np.bincount(pairs // n_words, minlength=len(words))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), entries)
+
+    return count(F.filter(tokens(text), lambda w: F.length(w) >= min_chars))
+
+
 def keyword_scores(df: DataFrame, key: list[str], text: str) -> DataFrame:
-    """``key, word, score``: TF-IDF over the given rows, words of three characters or more.
+    """``key, word, score``: TF-IDF over the given rows (one per key), words of three characters or more.
 
-    Counts are combined before each shuffle. A word found in every page is a hot join key; it
-    goes by broadcast (see :func:`attach_by_key`).
+    Term counts are made inside each row, so pairs of page and word are not shuffled to be
+    counted. A word found in every page is a hot join key; it goes by broadcast (see
+    :func:`attach_by_key`).
     """
-    words = df.select(*key, F.explode(tokens(F.col(text))).alias("word")).filter(F.length("word") >= KEYWORD_CHARS)
-    counts = words.groupBy(*key, "word").agg(F.count("*").alias("tf"))
+    counts = df.select(*key, F.inline(token_counts(F.col(text))))
     spread = counts.groupBy("word").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*")).scalar()
     weighted = attach_by_key(counts, spread, "word", "df", F.struct(*key))

@@ -99,7 +99,7 @@ def summary_sql(x: str) -> str:
 
 
 def entities_sql(x: str) -> str:
-    found = [f"regexp_extract_all({x}, '{p}')" for p in om.ENTITY_PATTERNS.values()]
+    found = [f"regexp_extract_all({x}, '{p}')" for p, _ in om.ENTITY_PATTERNS.values()]
     joined = found[0]
     for more in found[1:]:
         joined = f"list_concat({joined}, {more})"
@@ -107,7 +107,7 @@ def entities_sql(x: str) -> str:
 
 
 def type_sql(x: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches(lower({x}), '{p}') THEN '{name}'" for name, p in om.TYPE_RULES)
+    whens = " ".join(f"WHEN regexp_matches(lower({x}), '{'|'.join(words)}') THEN '{name}'" for name, words in om.TYPE_RULES)
     return f"CASE {whens} ELSE 'other' END"
 
 
