@@ -57,11 +57,13 @@ def row_blocks(
     A sheet of any size is numbered in slices (:func:`number_rows`), and a block never gathers
     more than ``n`` rows. ``cells`` are the columns shown.
     """
-    numbered = number_rows(df.select(*dict.fromkeys([part, *order, *cells])), [part], order, "_row", slice_rows)
+    # Rendered before numbering, while the rows still lie spread over the scan's tasks.
+    rendered = df.select(part, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)], render_row(cells).alias("_text"))
+    numbered = number_rows(rendered, [part], [f"_by{i}" for i in range(len(order))], "_row", slice_rows)
     lines = numbered.select(
         part,
         F.expr(f"(_row - 1) div {n}").alias("block"),
-        F.struct(F.col("_row").alias("row"), render_row(cells).alias("line")).alias("_line"),
+        F.struct(F.col("_row").alias("row"), F.col("_text").alias("line")).alias("_line"),
     )
     grouped = lines.groupBy(part, "block").agg(
         F.array_sort(F.collect_list("_line")).alias("_lines"), F.max("_line.row").cast("bigint").alias("last_row")

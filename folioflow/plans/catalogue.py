@@ -5,8 +5,10 @@ A query without SQL has none because its result depends on random projections.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from folioflow.operators import events as ev
 from folioflow.operators import metadata as om
 from folioflow.operators import search as ks
 from folioflow.operators import store as st
+from folioflow.operators.plugins import per_page
 from folioflow.plans import fixtures as fx
 from folioflow.plans.evaluation import evaluate
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
@@ -416,9 +419,6 @@ def metadata_json(spark, sf):
 
 def _model(batches):
     """A stand-in for a hosted model: answers in JSON with chatter, and fails on pages that start with 'A'."""
-    import json
-
-    from folioflow.operators.plugins import per_page
 
     def ask(text, image):
         if text.startswith("A"):
@@ -757,10 +757,6 @@ def grade_answers(spark, sf):
 
 def _judge_model(batches):
     """A stand-in for a judge model: the number of words of the answer as score, right or not."""
-    import json
-
-    import pandas as pd
-
     for batch in batches:
         scores = batch["answer"].str.split().str.len()
         yield pd.DataFrame({"grade_raw": [json.dumps({"score": int(n), "reason": f"{n} words"}) if n != 4 else "score: 4" for n in scores]})
