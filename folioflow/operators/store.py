@@ -81,7 +81,7 @@ def skip_done(
     """What is still to do.
 
     ``page`` drops the pages whose key is already there. With ``at_hand``, the source files of
-    this batch, the finished keys are first cut to those, which is a broadcast when they are few. ``prefix`` drops a file when
+    this batch if they are few enough to broadcast, the finished keys are first cut to those. ``prefix`` drops a file when
     any finished object's name starts with its page prefix; it takes a file with one finished
     page, or one whose name a finished page's name extends, for done.
     """

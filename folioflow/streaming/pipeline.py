@@ -20,6 +20,7 @@ from folioflow.operators.plugins import Plugin
 from folioflow.operators.store import skip_done
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
 from folioflow.schemas import PAGE_RECORD
+from folioflow.session import checkpoint_root
 from folioflow.sources.events import emit_backfill_events, read_events_stream
 from folioflow.sources.files import list_files
 from folioflow.sources.records import (
@@ -33,6 +34,8 @@ from folioflow.sources.records import (
 
 AVAILABLE_NOW = {"availableNow": True}
 MAX_PATHS = 10_000
+# Names of at most 1,024 characters each, so at most about 50 MB when broadcast.
+MAX_BROADCAST_FILES = 50_000
 
 # Gets events (bucket, name, ...) and returns those whose object exists, with text and content.
 Loader = Callable[[DataFrame], DataFrame]
@@ -80,8 +83,18 @@ def from_folder(spark: SparkSession, root: str) -> Loader:
     return load
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """The rows written to the checkpoint folder, to be read from there."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin | None, page_lines: int | None, reprocess: bool) -> None:
-    """One batch of decoded events: refuse, skip, split, describe, write."""
+    """One batch of decoded events: refuse, skip, split, describe, write.
+
+    A model's answers are checkpointed, not cached: they are asked for once and outlive the
+    executor that got them. The default columns, which can be computed again, are cached.
+    """
     spark = events.sparkSession
     held: list[DataFrame] = []
 
@@ -92,7 +105,7 @@ def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin
     try:
         good, refused = split_status(hold(route_files(events)))
         write_quarantine(refused, quarantine_dir(out), "event")
-        good = good.select("bucket", "name").distinct()
+        good = hold(good.select("bucket", "name").distinct())
         files = load(good)
         lost = good.join(files.select("bucket", "name"), ["bucket", "name"], "left_anti")
         not_found = {"status": F.lit("transient"), "error": F.lit("NotFound: no such object")}
@@ -100,13 +113,17 @@ def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin
 
         todo = build_chunks(files, page_lines)
         if not reprocess:
-            at_hand = good.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file"))
+            # The whole key has no hot value, so a large batch needs no help; a small one spares the
+            # shuffle of the ledger.
+            at_hand = None
+            if good.count() <= MAX_BROADCAST_FILES:
+                at_hand = F.broadcast(good.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file")))
             todo = skip_done(todo, read_page_keys(spark, keys_dir(out)), "page", at_hand=at_hand)
         if metadata_fn is None:
             # The default metadata reads the pages more than once.
             todo = hold(todo)
-        # Written twice below, and a model's answer must be asked for once.
-        described = hold(extract_metadata(todo, metadata_fn))
+        described = extract_metadata(todo, metadata_fn)
+        described = hold(described) if metadata_fn is None else settle(described)
         if "error" in described.columns:
             failed = described.filter(F.col("error").isNotNull()).withColumn("status", classify_error(F.col("error")))
             write_quarantine(failed.drop("image"), quarantine_dir(out), "metadata")
@@ -121,7 +138,7 @@ def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin
 
 def run_parse_stream(
     spark: SparkSession,
-    events_dir: str | DataFrame,
+    events: str | DataFrame,
     load: Loader,
     out: str,
     checkpoint: str,
@@ -135,20 +152,21 @@ def run_parse_stream(
     """Stage 1: events to page records below ``out``.
 
     Events come from a folder of envelopes, or as a stream of ``bucket, name, event_time`` such
-    as :func:`folioflow.sources.files.watch_files` gives. ``dedupe_delay`` also drops redeliveries of one object inside that time, before any work; it
-    does so for a new upload under the same name, too.
+    as :func:`folioflow.sources.files.watch_files` gives. ``dedupe_delay`` also drops
+    redeliveries of one object inside that time, before any work; it does so for a new upload
+    under the same name, too.
     """
-    if isinstance(events_dir, DataFrame):
-        decoded = events_dir.select("event_time", "bucket", "name", F.lit("ok").alias("status"))
+    if isinstance(events, DataFrame):
+        decoded = events.select("event_time", "bucket", "name", F.lit("ok").alias("status"))
     else:
-        decoded = decode_events(read_events_stream(spark, events_dir, max_files))
+        decoded = decode_events(read_events_stream(spark, events, max_files))
         decoded = decoded.select("event_time", F.col("message.data").alias("data"), "bucket", "name", "status")
     if dedupe_delay:
         good, bad = split_status(decoded)
         decoded = dedupe_events(good, dedupe_delay).unionByName(bad)
 
-    def batch(events: DataFrame, batch_id: int) -> None:
-        parse_events(events, load, out, metadata_fn, page_lines, reprocess)
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        parse_events(rows, load, out, metadata_fn, page_lines, reprocess)
 
     return _start(decoded, batch, checkpoint, trigger)
 
@@ -161,8 +179,9 @@ def embed_records(
     cached = records.persist()
     write_quarantine(cached.filter(broken).withColumn("status", F.lit("bad_record")), quarantine_dir(out), "record")
     readable = cached.filter(~broken).drop(CORRUPT).withColumn("part", F.coalesce("part", F.lit("")))
-    # Used for the store and for the quarantine; the vectors are asked for once.
-    rows = embed_pages(readable, text_fn, image_fn, with_text, batch_id=batch_id, batch_rows=batch_rows).persist()
+    # Used for the store and for the quarantine; a model is asked once.
+    rows = embed_pages(readable, text_fn, image_fn, with_text, batch_id=batch_id, batch_rows=batch_rows)
+    rows = rows.persist() if text_fn is None and image_fn is None else settle(rows)
     try:
         good, refused = split_status(rows)
         upsert_store(good, store)

@@ -1,7 +1,6 @@
 """Both stages with available-now triggers and fresh checkpoints."""
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from folioflow.operators.plugins import per_page
 from folioflow.operators.store import latest_per_key
@@ -64,9 +63,9 @@ def test_backfill_and_reprocess(spark, tmp_path):
         sp.backfill(*args, sp.from_table(files), run.out, f"{run.base}/cp1", reprocess=reprocess, metadata_fn=model(word)).awaitTermination()
         run.stage2()
         latest = latest_per_key(read_store(spark, run.store))
-        return {F_summary(r.metadata) for r in latest.collect()}, read_store(spark, run.store).count()
+        return {summary_of(r.metadata) for r in latest.collect()}, read_store(spark, run.store).count()
 
-    def F_summary(raw):
+    def summary_of(raw):
         import json
 
         return json.loads(raw)["summary"]
