@@ -15,11 +15,11 @@ from folioflow.session import checkpoint_root, scratch_path
 OUT_ROWS = 4096
 
 
-def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+def rows_of(batches: Iterable[pa.RecordBatch], *names: str, step: int = 256) -> Iterator[tuple]:
     """The rows of Arrow batches, a slice at a time, so that long texts are not all Python objects at once."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
             yield from zip(*(part.column(n).to_pylist() for n in names))
 
 
