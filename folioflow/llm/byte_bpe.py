@@ -1,9 +1,10 @@
-"""Byte-level BPE: Spark folds ranked merges over the bytes of distinct words; decoding joins binary pieces.
+"""Byte-level BPE: ranked merges folded over the bytes of distinct words; decoding joins binary pieces.
 
-A task reads its documents in order. Python splits each text into words (by the tokenizer's pattern), numbers
-the words it meets for the first time and hands them to Spark as byte arrays, followed by the documents as lists
-of word numbers. Spark folds the merges over each distinct word with higher-order functions, the rank map being a
-literal. The next Python step, in the same task, puts the ids of the words back together. Nothing is shuffled.
+The ranked merges are folded over the bytes of each distinct word of a task, the rank map being a constant that goes
+out with the task; decoding joins the binary pieces of the ids. ``fold_column`` is the fold as a Spark column, of
+higher-order functions over byte arrays and a literal rank map. Interpreted as those are, it takes more CPU time than
+corpora allow (see the README), so ``encode`` runs the same fold over arrays of words of one length, many at a time.
+Nothing is shuffled, and a task that is lost is run again on its own.
 
 Null texts encode like empty ones, to no ids. Repeated rows give repeated rows, an empty table gives an empty
 one, and no input column but those named is looked at, so further columns cannot clash.
@@ -20,13 +21,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import packed, rows_of
 
-# Words that a task keeps numbered; when there are more it starts a new numbering. Bounds memory, not results.
-WORDS_KEPT = 900_000
+# Units of text that a task remembers; when there are more it starts anew. Bounds memory, not results.
+UNITS_KEPT = 700_000
+BATCH_CHARS = 4 << 20
+NEVER = 1 << 30
 # A word of more bytes is merged with a heap: folding takes time in the square of a word's length.
 FOLD_BYTES = 96
 # Text of one task, before compression. More text in a task means fewer words that several tasks fold.
@@ -61,8 +64,8 @@ def slots_of(left, right) -> tuple:
     return (left * 40503 + right * 9176) % SLOTS, (left * 7919 + right * 104729) % SLOTS
 
 
-def rank_map(pairs: Merge) -> Column:
-    """The merges as one literal array: an entry holds a pair and the token it makes, in one of its two places."""
+def rank_table(pairs: Merge) -> np.ndarray:
+    """The merges as an array: an entry holds a pair and the token it makes, in one of its two places."""
     table = [-1] * SLOTS
     for left, right, whole in pairs:
         entry, at = (left * 65536 + right) << 17 | whole, slots_of(left, right)[0]
@@ -74,14 +77,15 @@ def rank_map(pairs: Merge) -> Column:
             at = places[1] if places[0] == at else places[0]
         else:
             raise ValueError("the rank map is too full")
-    return F.lit(np.array(table, np.int64))
+    return np.array(table, np.int64)
 
 
-def fold(word: Column, first: list[int], table: Column) -> Column:
+def fold_column(word: Column, ranks: dict[bytes, int]) -> Column:
     """Ids of a word given as an array of byte values, at least two of them.
 
-    ``first`` has the id of each byte. Each step of the fold merges the leftmost pair of least rank.
+    The rank map is a literal; each step of the fold merges the leftmost pair of least rank.
     """
+    table, first = F.lit(rank_table(merges(ranks))), [ranks[bytes([b])] for b in range(256)]
 
     def candidate(ids: Column):
         def of(left: Column, i: Column) -> Column:
@@ -166,90 +170,115 @@ def units(text: str, odd, parts) -> list[str]:
     return [cut[0], *map(" ".__add__, cut[1:])] if cut[0] else list(map(" ".__add__, cut[1:]))
 
 
-WORDS = pa.schema([("doc_id", pa.int64()), ("word_no", pa.int32()), ("word", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32())), ("refs", pa.binary())])
+class Encoder:
+    """Ids of texts. Words are folded once, many at a time; units of text remember the ids of their words."""
+
+    def __init__(self, ranks: dict[bytes, int], table: np.ndarray, pattern: str, limit: int = UNITS_KEPT):
+        self.ranks, self.table, self.limit = ranks, table, limit
+        self.first = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.match = regex.compile(pattern)
+        self.odd = regex.compile(f"[{SPACES}] ")
+        self.parts = regex.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, new: list[str]) -> None:
+        cut = [pieces(unit, self.match) for unit in new]
+        words = list({word for found in cut for word in found})
+        ids = dict(zip(words, self.fold([w.encode() for w in words])))
+        self.known.update(zip(new, (b"".join(map(ids.__getitem__, found)) for found in cut)))
+
+    def fold(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words, as bytes of 32-bit numbers; words of about one length are folded together."""
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            if (rank := self.ranks.get(word)) is not None:
+                out[i] = rank.to_bytes(4, "little")
+            elif len(word) > FOLD_BYTES:
+                out[i] = np.array(merge_long(word, self.ranks), np.int32).tobytes()
+            else:
+                by_length.setdefault(len(word), []).append(i)
+        for length, at in by_length.items():
+            for start in range(0, len(at), 16_384):
+                some = at[start : start + 16_384]
+                ids, sizes = self.fold_equal(np.frombuffer(b"".join(words[i] for i in some), np.uint8).reshape(-1, length))
+                raw, width = ids.tobytes(), length * 4
+                for row, (i, size) in enumerate(zip(some, sizes.tolist())):
+                    out[i] = raw[row * width : row * width + size * 4]
+        return out
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What each pair makes, or NEVER."""
+        left, right = left.astype(np.int64), right.astype(np.int64)
+        pair, made = left * 65536 + right, np.full(left.shape, NEVER, np.int32)
+        for slot in slots_of(left, right):
+            entry = self.table[slot]
+            np.copyto(made, (entry & 0x1FFFF).astype(np.int32), where=entry >> 17 == pair)
+        return made
+
+    def fold_equal(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of bytes to rows of ids and their numbers: each step merges every row's leftmost pair of least rank."""
+        n, length = words.shape
+        ids = self.first[words]
+        out, sizes = ids.copy(), np.full(n, length, np.int64)
+        rows = np.arange(n)
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        for size in range(length, 1, -1):
+            best = ranks.argmin(axis=1)
+            made = ranks[np.arange(len(ranks)), best]
+            going = made < NEVER
+            if not going.all():
+                done = rows[~going]
+                out[done, :size], sizes[done] = ids[~going], size
+                rows, ids, ranks, best, made = rows[going], ids[going], ranks[going], best[going], made[going]
+            if not len(rows):
+                break
+            each, places = np.arange(len(rows)), np.arange(size - 1)
+            ids[each, best] = made
+            ids = np.take_along_axis(ids, places + (places > best[:, None]), axis=1)
+            if size == 2:
+                out[rows, :1], sizes[rows] = ids, 1
+                break
+            places = places[:-1]
+            ranks = np.take_along_axis(ranks, places + (places >= best[:, None]), axis=1)
+            after = best < size - 2
+            ranks[each[after], best[after]] = self.rank(ids[each[after], best[after]], ids[each[after], best[after] + 1])
+            before = best > 0
+            ranks[each[before], best[before] - 1] = self.rank(ids[each[before], best[before] - 1], ids[each[before], best[before]])
+        return out, sizes
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        cut = [units(t, self.odd, self.parts) if t else [] for t in texts]
+        new = list({u for found in cut for u in found if u not in self.known})
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
+            new = list({u for found in cut for u in found})
+        self.learn(new)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, found)), np.int32) for found in cut]
+
+
+def encoded(df: DataFrame, ranks_path: str, pattern: str, finish, schema: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents to what ``finish`` makes of the (doc_id, ids) pairs of a task."""
+    ranks = load_ranks(ranks_path)
+    entries = rank_table(merges(ranks))
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(ranks, entries, pattern)
 
-def split_words(pattern: str, ranks: dict[bytes, int], limit: int = WORDS_KEPT):
-    """Documents to rows of new words, each followed by rows of the documents that use them."""
+        def found() -> Iterator[tuple[int | None, np.ndarray]]:
+            held, size = [], 0
+            for row in rows_of(batches, "doc_id", "text"):
+                held.append(row)
+                size += len(row[1] or "")
+                if size > BATCH_CHARS or len(held) >= 4096:
+                    yield from zip((d for d, _ in held), encoder.encode([t for _, t in held]))
+                    held, size = [], 0
+            yield from zip((d for d, _ in held), encoder.encode([t for _, t in held]))
+
+        yield from finish(found())
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = regex.compile(pattern)
-        odd = regex.compile(f"[{SPACES}] ")
-        parts = regex.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-        of_word: dict[str, int] = {}
-        of_unit: dict[str, bytes] = {}
-        new: list[str] = []
-        docs: list[tuple] = []
-        held = 0
-
-        def number(word: str) -> int:
-            n = of_word.setdefault(word, len(of_word))
-            if n + 1 == len(of_word) and n == base + len(new):
-                new.append(word)
-            return n
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(new), 20_000):
-                coded = [w.encode() for w in new[at : at + 20_000]]
-                done = [[ranks[w]] if w in ranks else merge_long(w, ranks) if len(w) > FOLD_BYTES else None for w in coded]
-                lengths = np.array([0 if d else len(w) for w, d in zip(coded, done)], np.int64)
-                flat = np.frombuffer(b"".join(w for w, d in zip(coded, done) if not d), np.uint8).astype(np.int32)
-                words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(flat))
-                n = len(coded)
-                numbers = pa.array(np.arange(base + at, base + at + n, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), numbers, words, pa.array(done, pa.list_(pa.int32())), pa.nulls(n, pa.binary())], schema=WORDS)
-            yield from packed(((d, None, None, None, r) for d, r in docs), WORDS)
-
-        base = 0
-        for doc_id, text in rows_of(batches, "doc_id", "text"):
-            cut = units(text, odd, parts) if text else []
-            for unit in {u for u in cut if u not in of_unit}:
-                of_unit[unit] = np.array([number(p) for p in pieces(unit, match)], np.int32).tobytes()
-            refs = b"".join(map(of_unit.__getitem__, cut))
-            docs.append((doc_id, refs))
-            held += len(refs)
-            if held > 16 << 20 or len(docs) >= 2048:
-                yield from flush()
-                base, held = base + len(new), 0
-                new.clear()
-                docs.clear()
-                if len(of_unit) > limit:
-                    of_word.clear()
-                    of_unit.clear()
-                    base = 0
-        yield from flush()
-
-    return run
-
-
-def join_words(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(doc_id, ids) of each document; a word numbered 0 starts a new numbering."""
-    table: list[bytes] = []
-    for batch in batches:
-        numbers = batch.column("word_no").to_pylist()
-        lists, refs, docs = batch.column("ids"), batch.column("refs"), batch.column("doc_id")
-        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32).tobytes()
-        ends = (np.cumsum(np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64) * 4).tolist()
-        start = 0
-        for i, n in enumerate(numbers):
-            if n is None:
-                words = np.frombuffer(refs[i].as_py(), np.int32).tolist()
-                yield docs[i].as_py(), np.frombuffer(b"".join(map(table.__getitem__, words)), np.uint32)
-                continue
-            if n == 0:
-                table.clear()
-            table.append(values[start : ends[i]])
-            start = ends[i]
-
-
-def encoded(df: DataFrame, ranks_path: str, pattern: str, finish, schema: pa.Schema | str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents to what ``finish`` makes of the (doc_id, ids) pairs of a task."""
-    ranks = load_ranks(ranks_path)
-    first = [ranks[bytes([b])] for b in range(256)]
     narrow = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    words = in_large_tasks(narrow).mapInArrow(split_words(pattern, ranks), "doc_id bigint, word_no int, word array<int>, ids array<int>, refs binary")
-    ids = F.coalesce(F.col("ids"), F.when(F.size("word") > 0, fold(F.col("word"), first, rank_map(merges(ranks))).cast("array<int>")))
-    return words.select("doc_id", "word_no", ids.alias("ids"), "refs").mapInArrow(lambda it: finish(join_words(it)), schema)
+    return in_large_tasks(narrow).mapInArrow(run, schema)
 
 
 def in_large_tasks(df: DataFrame, size: int = TASK_BYTES) -> DataFrame:
