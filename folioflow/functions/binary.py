@@ -13,8 +13,9 @@ def b64_encode(data: Column) -> Column:
 
 def b64_decode(text: Column) -> Column:
     """Bytes, or null when the text is no base64. Characters outside the alphabet are skipped."""
+    plain = F.try_to_binary(text, F.lit("base64"))
     clean = F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
-    return F.try_to_binary(clean, F.lit("base64"))
+    return F.coalesce(plain, F.try_to_binary(clean, F.lit("base64")))
 
 
 def b64_decode_text(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import block_label, py_strip
-from folioflow.operators.ranking import SLICE_ROWS, number_rows
+from folioflow.operators.ranking import number_rows
 
 PAGE_BREAK = "\f"
 BLOCK_ROWS = 20
@@ -23,13 +23,18 @@ def explode_pages(df: DataFrame, text: str = "text", sep: str = PAGE_BREAK) -> D
     )
 
 
+def blocks_of(lines: Column, n: int = BLOCK_ROWS) -> Column:
+    """Blocks of ``n`` of an array of lines. The array must be a column of its own: an expression
+    would be worked out again for each block."""
+    starts = F.sequence(F.lit(1), F.size(lines), F.lit(n))
+    return F.transform(starts, lambda i: F.array_join(F.slice(lines, i, n), "\n"))
+
+
 def line_blocks(df: DataFrame, text: str = "text", n: int = BLOCK_ROWS) -> DataFrame:
     """Pages of ``n`` lines for texts without page breaks. Cut inside the row, no shuffle."""
     kept = [c for c in df.columns if c != text]
     lines = df.select(*kept, F.split(F.col(text), "\n").alias("_lines"))
-    starts = F.sequence(F.lit(1), F.size("_lines"), F.lit(n))
-    blocks = F.transform(starts, lambda i: F.array_join(F.slice("_lines", i, n), "\n"))
-    return lines.select(*kept, F.posexplode(blocks).alias("_pos", "_block")).select(
+    return lines.select(*kept, F.posexplode(blocks_of(F.col("_lines"), n)).alias("_pos", "_block")).select(
         *kept, (F.col("_pos") + 1).alias("page_num"), F.col("_block").alias("page_text")
     )
 
@@ -50,7 +55,7 @@ def row_blocks(
     cells: list[str],
     n: int = BLOCK_ROWS,
     clip: bool = False,
-    slice_rows: int = SLICE_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Blocks of ``n`` rows per sheet: ``part, block, first_row, last_row, label, text``.
 
@@ -59,7 +64,7 @@ def row_blocks(
     """
     # Rendered before numbering, while the rows still lie spread over the scan's tasks.
     rendered = df.select(part, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)], render_row(cells).alias("_text"))
-    numbered = number_rows(rendered, [part], [f"_by{i}" for i in range(len(order))], "_row", slice_rows)
+    numbered = number_rows(rendered, [part], [f"_by{i}" for i in range(len(order))], "_row", slices)
     lines = numbered.select(
         part,
         F.expr(f"(_row - 1) div {n}").alias("block"),

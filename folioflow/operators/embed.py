@@ -92,21 +92,21 @@ def hash_multimodal(data: Column, text: Column, dim: int = IMAGE_DIM) -> Column:
 
 
 def embed_text(
-    df: DataFrame, fn: Plugin | None = None, dim: int = TEXT_DIM, text: str = "summary", out: str = "text_embedding", batch_rows: int | None = None
+    df: DataFrame, fn: Plugin | None = None, dim: int = TEXT_DIM, text: str = "summary", out: str = "text_embedding", batch_rows: int | None = None, error: str | None = None
 ) -> DataFrame:
     """Add the text vector. A plug-in gets the column ``text`` names and yields ``out``."""
     if fn is None:
         return df.withColumn(out, hash_text(F.col(text), dim))
-    return apply_plugin(df, fn, [text], f"{out} array<float>", batch_rows)
+    return apply_plugin(df, fn, [text], f"{out} array<float>", batch_rows, error)
 
 
 def embed_binary(
-    df: DataFrame, fn: Plugin | None = None, dim: int = IMAGE_DIM, data: str = "image", out: str = "multimodal_embedding", batch_rows: int | None = None
+    df: DataFrame, fn: Plugin | None = None, dim: int = IMAGE_DIM, data: str = "image", out: str = "multimodal_embedding", batch_rows: int | None = None, error: str | None = None
 ) -> DataFrame:
     """Add the vector of the bytes alone."""
     if fn is None:
         return df.withColumn(out, hash_binary(F.col(data), dim))
-    return apply_plugin(df, fn, [data], f"{out} array<float>", batch_rows)
+    return apply_plugin(df, fn, [data], f"{out} array<float>", batch_rows, error)
 
 
 def embed_multimodal(
@@ -117,8 +117,9 @@ def embed_multimodal(
     text: str = "page_text",
     out: str = "multimodal_embedding",
     batch_rows: int | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """Add the vector of bytes and text together; either may be null."""
     if fn is None:
         return df.withColumn(out, hash_multimodal(F.col(data), F.col(text), dim))
-    return apply_plugin(df, fn, [data, text], f"{out} array<float>", batch_rows)
+    return apply_plugin(df, fn, [data, text], f"{out} array<float>", batch_rows, error)

@@ -10,7 +10,7 @@ from folioflow.functions.json import json_field, parse_json_strict
 from folioflow.functions.text import route
 
 # Failures worth a retry, and the answer each outcome gives to the sender.
-TRANSIENT_ERRORS = ["DatabaseError", "DeadlineExceeded", "ServiceUnavailable", "ResourceExhausted"]
+TRANSIENT_ERRORS = ["DatabaseError", "DeadlineExceeded", "ServiceUnavailable", "ResourceExhausted", "BadAnswer"]
 ANSWER = {"ok": 204, "skipped": 204, "unsupported": 204, "permanent": 200, "bad_request": 400, "transient": 503}
 
 

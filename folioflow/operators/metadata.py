@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from folioflow.functions.json import has_summary, parse_json_lenient, parse_json_strict, to_metadata_json
 from folioflow.functions.text import PY_WHITESPACE, model_text, py_strip, tokens
 from folioflow.operators.plugins import Plugin, apply_plugin
-from folioflow.operators.skew import attach_by_key
 from folioflow.schemas import CHUNK_KEY, METADATA
+from folioflow.session import written
 
 # Fixed values of the default rules.
 SENTENCE_ENDS = ".!?。！？"
@@ -36,7 +36,6 @@ TYPE_RULES = [
 ]
 DEFAULT_TYPE = "other"
 MAX_KEYWORDS = 5
-KEYWORD_CHARS = 3
 
 
 def lead_summary(text: Column) -> Column:
@@ -69,7 +68,7 @@ def rule_type(text: Column) -> Column:
     return chain.otherwise(DEFAULT_TYPE)
 
 
-def token_counts(text: Column, min_chars: int = KEYWORD_CHARS) -> Column:
+def token_counts(text: Column, min_chars: int = 1) -> Column:
     """``array<struct<word,tf>>``: the distinct tokens of a text with their counts."""
 
     @F.arrow_udf("array<struct<word:string,tf:bigint>>")
@@ -86,41 +85,58 @@ def token_counts(text: Column, min_chars: int = KEYWORD_CHARS) -> Column:
     return count(F.filter(tokens(text), lambda w: F.length(w) >= min_chars))
 
 
-def keyword_scores(df: DataFrame, key: list[str], text: str) -> DataFrame:
-    """``key, word, score``: TF-IDF over the given rows (one per key), words of three characters or more.
+def word_stats(df: DataFrame, text: str) -> DataFrame:
+    """``word, df, total``: in how many of the rows a word stands, and of how many rows.
 
-    Term counts are made inside each row, so pairs of page and word are not shuffled to be
-    counted. A word found in every page is a hot join key; it goes by broadcast (see
-    :func:`attach_by_key`).
+    Made once over a corpus and handed to the streams, so that what a page's keywords are does
+    not depend on the batch that it comes in.
     """
-    counts = df.select(*key, F.inline(token_counts(F.col(text))))
-    spread = counts.groupBy("word").agg(F.count("*").alias("df"))
-    total = df.agg(F.count("*")).scalar()
-    weighted = attach_by_key(counts, spread, "word", "df", F.struct(*key))
-    score = F.round(F.col("tf") * F.log((total + 1) / (F.col("df") + 1)), 6)
-    return weighted.select(*key, "word", score.alias("score"))
+    return _stats_of(df.select(F.inline(token_counts(F.col(text)))), df.agg(F.count("*")).scalar())
 
 
-def top_keywords(df: DataFrame, key: list[str], text: str, k: int = MAX_KEYWORDS) -> DataFrame:
+def _stats_of(counts: DataFrame, total: Column) -> DataFrame:
+    return counts.groupBy("word").agg(F.count("*").alias("df")).withColumn("total", total)
+
+
+def keyword_scores(df: DataFrame, key: list[str], text: str, stats: DataFrame | None = None, min_chars: int = 1) -> DataFrame:
+    """``key, word, score``: TF-IDF of the words of each row (one row per key).
+
+    ``stats`` is a table as :func:`word_stats` gives; without it the given rows are the corpus.
+    Words are counted once, inside each row, and the counts written, because both the document
+    frequencies and the scores come from them. A word found in every page is a hot join key;
+    both sides of the join are scans, so Spark splits it.
+    """
+    counts = written(df.select(*key, F.inline(token_counts(F.col(text), min_chars))), "words")
+    if stats is None:
+        # Pages without words count as well.
+        stats = written(_stats_of(counts, F.lit(df.count())), "stats")
+    weighted = counts.join(stats, "word", "left")
+    score = F.round(F.col("tf") * F.log((F.col("total") + 1) / (F.coalesce("df", F.lit(0)) + 1)), 6)
+    return weighted.select(*key, "word", F.coalesce(score, F.col("tf").cast("double")).alias("score"))
+
+
+def top_keywords(df: DataFrame, key: list[str], text: str, k: int = MAX_KEYWORDS, stats: DataFrame | None = None, min_chars: int = 1) -> DataFrame:
     """``key, keywords``: the best ``k`` words by score, ties by word; pages without words are absent."""
     best = Window.partitionBy(*key).orderBy(F.desc("score"), "word")
-    ranked = keyword_scores(df, key, text).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    ranked = keyword_scores(df, key, text, stats, min_chars).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     listed = F.array_sort(F.collect_list(F.struct("rank", "word")))
     return ranked.groupBy(*key).agg(F.transform(listed, lambda x: x["word"]).alias("keywords"))
 
 
 def extract_metadata(
-    pages: DataFrame, fn: Plugin | None = None, key: list[str] | None = None, text: str = "page_text", batch_rows: int | None = None
+    pages: DataFrame, fn: Plugin | None = None, key: list[str] | None = None, text: str = "page_text", batch_rows: int | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``metadata`` (a struct), and ``error`` with a plug-in.
 
     The plug-in gets ``model_text`` and ``image`` (null where there is none) and yields
     ``metadata_raw`` (the model's text) and ``error``. Its text is parsed leniently; a text
-    without a usable summary gives null metadata.
+    without a usable summary gives null metadata and the error ``BadAnswer``. ``stats`` are the
+    corpus statistics of the default keywords (:func:`word_stats`).
     """
     key = key or CHUNK_KEY
     if fn is None:
-        keywords = top_keywords(pages, key, text)
+        keywords = top_keywords(pages, key, text, stats=stats)
         built = F.struct(
             lead_summary(F.col(text)).alias("summary"),
             pattern_entities(F.col(text)).alias("extracted_entities"),
@@ -133,7 +149,9 @@ def extract_metadata(
     if "image" not in asked.columns:
         asked = asked.withColumn("image", F.lit(None).cast("binary"))
     told = apply_plugin(asked, fn, ["model_text", "image"], "metadata_raw string, error string", batch_rows)
-    return told.withColumn("metadata", metadata_from_text(F.col("metadata_raw"))).drop("model_text", "metadata_raw")
+    told = told.withColumn("metadata", metadata_from_text(F.col("metadata_raw")))
+    unusable = F.when(F.col("metadata").isNull(), F.lit("BadAnswer: no usable summary"))
+    return told.withColumn("error", F.coalesce("error", unusable)).drop("model_text", "metadata_raw")
 
 
 def metadata_from_text(raw: Column, strict: bool = False) -> Column:

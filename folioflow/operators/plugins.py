@@ -17,9 +17,19 @@ from pyspark.sql import types as T
 Plugin = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
-def apply_plugin(df: DataFrame, fn: Plugin, inputs: list[str], outputs: str, batch_rows: int | None = None) -> DataFrame:
-    """``df`` with the plug-in's output columns (a DDL string) added."""
+def apply_plugin(
+    df: DataFrame, fn: Plugin, inputs: list[str], outputs: str, batch_rows: int | None = None, error: str | None = None
+) -> DataFrame:
+    """``df`` with the plug-in's output columns (a DDL string) added.
+
+    With ``error``, a column of that name takes what the plug-in yields as ``error``; and where
+    the plug-in itself raises, the rows that it was given and has not answered get the failure
+    there, and it is started anew for the rest.
+    """
     added = T.StructType.fromDDL(outputs)
+    told = list(added.names)
+    if error:
+        added = added.add(error, "string")
     schema = T.StructType([*[f for f in df.schema.fields if f.name not in added.names], *added.fields])
     kept = [f.name for f in schema.fields if f.name not in added.names]
 
@@ -34,11 +44,30 @@ def apply_plugin(df: DataFrame, fn: Plugin, inputs: list[str], outputs: str, bat
                     waiting.append(piece)
                     yield piece[inputs]
 
-        for result in fn(feed()):
-            piece = waiting.popleft()
+        def joined(piece: pd.DataFrame, result: pd.DataFrame) -> pd.DataFrame:
             if len(result) != len(piece):
                 raise ValueError(f"the plug-in gave {len(result)} rows for a batch of {len(piece)}")
-            yield pd.concat([piece[kept], result[added.names].reset_index(drop=True)], axis=1)
+            result = result.reset_index(drop=True)
+            columns = result[told]
+            if error:
+                columns = columns.assign(**{error: result["error"] if "error" in result.columns else None})
+            return pd.concat([piece[kept], columns], axis=1)
+
+        given, going = feed(), True
+        while going:
+            results = iter(fn(given))
+            try:
+                for result in results:
+                    yield joined(waiting.popleft(), result)
+                going = False
+            except Exception as failure:  # noqa: BLE001 - with an error column, every failure becomes a row status
+                if not error or not waiting:
+                    raise
+                why = f"{type(failure).__name__}: {failure}"
+                while waiting:
+                    piece = waiting.popleft()
+                    lost = pd.DataFrame({name: pd.Series([None] * len(piece), dtype=object) for name in told})
+                    yield joined(piece, lost.assign(error=why))
         if waiting:
             raise ValueError(f"the plug-in left {len(waiting)} batches without a result")
 

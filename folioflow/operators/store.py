@@ -46,12 +46,14 @@ def to_store_row(chunks: DataFrame, batch_id: int = 0) -> DataFrame:
         F.col("multimodal_embedding").cast("array<float>").alias("multimodal_embedding"),
         F.current_timestamp().alias("created_at"),
         F.lit(batch_id).cast("long").alias("batch_id"),
+        *(["error"] if "error" in chunks.columns else []),
     )
 
 
 def latest_per_key(rows: DataFrame, key: list[str] | None = None, newest: list[str] | None = None) -> DataFrame:
     """One row per key, the newest. Repeats are thinned out before the shuffle."""
-    order = [F.desc(c) for c in (newest or ["created_at", "batch_id"])]
+    # Equal times are told apart by the row itself, so that the same one wins on every run.
+    order = [*(F.desc(c) for c in (newest or ["created_at", "batch_id"])), F.desc(F.xxhash64(*rows.columns))]
     window = Window.partitionBy(*(key or CHUNK_KEY)).orderBy(*order)
     return rows.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") == 1).drop("_n")
 
@@ -75,24 +77,18 @@ def done_prefixes(done: DataFrame, object_name: str = "object_name") -> DataFram
     return long_enough.select(F.explode(prefixes).alias("_prefix")).distinct()
 
 
-def skip_done(
-    files: DataFrame, done: DataFrame, mode: str = "page", key: list[str] | None = None, at_hand: DataFrame | None = None
-) -> DataFrame:
+def skip_done(files: DataFrame, done: DataFrame, mode: str = "page", key: list[str] | None = None) -> DataFrame:
     """What is still to do.
 
-    ``page`` drops the pages whose key is already there. With ``at_hand``, the source files of
-    this batch if they are few enough to broadcast, the finished keys are first cut to those. ``prefix`` drops a file when
-    any finished object's name starts with its page prefix; it takes a file with one finished
-    page, or one whose name a finished page's name extends, for done.
+    ``page`` drops the pages whose key is already there. ``prefix`` drops a file when any
+    finished object's name starts with its page prefix; it takes a file with one finished page,
+    or one whose name a finished page's name extends, for done.
     """
     if mode == "prefix":
         named = files.withColumn("_prefix", page_prefix(F.col("name")))
         return named.join(done_prefixes(done), "_prefix", "left_anti").drop("_prefix")
     key = key or CHUNK_KEY
-    finished = done.select(*key)
-    if at_hand is not None:
-        finished = finished.join(at_hand, key[0], "left_semi")
-    return files.join(finished, key, "left_anti")
+    return files.join(done.select(*key), key, "left_anti")
 
 
 def attach_vectors(pages: DataFrame, text_vectors: DataFrame, image_vectors: DataFrame, key: list[str] | None = None) -> DataFrame:

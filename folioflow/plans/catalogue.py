@@ -27,7 +27,8 @@ from folioflow.operators.plugins import per_page
 from folioflow.plans import fixtures as fx
 from folioflow.plans.evaluation import evaluate
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
-from folioflow.session import scratch_path
+from folioflow.operators.ranking import number_rows
+from folioflow.session import scratch_path, written
 from folioflow.sources import events as se
 from folioflow.sources import records as sr
 from folioflow.sources.files import keep_objects
@@ -342,7 +343,7 @@ def sheet_blocks(spark, sf):
 @query(ORACLE["sheet_blocks"])
 def sheet_blocks_sliced(spark, sf):
     """The same through the path for sheets larger than one task."""
-    return _sheet(spark, sf, slice_rows=20_000)
+    return _sheet(spark, sf, slices=37)
 
 
 @query(sheet_sql("part", "p_brand", "p_partkey", "p_partkey::VARCHAR, p_name, p_type, p_size::VARCHAR, p_retailprice::VARCHAR"))
@@ -382,7 +383,7 @@ def rule_type(spark, sf):
 
 def keywords_sql(source: str, key: str, text: str) -> str:
     return f"""kw_w AS (SELECT {key}, unnest({tokens_sql(text)}) AS word FROM {source}
-), kw_tf AS (SELECT {key}, word, count(*) AS tf FROM kw_w WHERE length(word) >= 3 GROUP BY ALL
+), kw_tf AS (SELECT {key}, word, count(*) AS tf FROM kw_w GROUP BY ALL
 ), kw_df AS (SELECT word, count(*) AS df FROM kw_tf GROUP BY word
 ), kw_score AS (
   SELECT {key}, word, round(tf * ln(((SELECT count(*) FROM {source}) + 1)::DOUBLE / (df + 1)), 6) AS score FROM kw_tf JOIN kw_df USING (word)
@@ -516,18 +517,19 @@ def vector_text(spark, sf):
 # ---------------------------------------------------------------- store
 
 
-@query("""SELECT vec_id, label, list_sum(list_transform(embedding, lambda x: x::DOUBLE)) IS NOT NULL AS has_text, round(embedding[1]::DOUBLE, 6) AS first_text,
-  round(embedding[64]::DOUBLE, 6) AS first_image FROM embeddings""")
+@query("""SELECT vec_id, label, i - 1 AS dim, round(embedding[i]::DOUBLE, 6) AS text_v, round(embedding[65 - i]::DOUBLE, 6) AS image_v
+  FROM (SELECT *, unnest(range(1, 65)) AS i FROM embeddings)""")
 def attach_vectors(spark, sf):
     vec = fx.vectors(spark, sf)
     key = [F.concat(F.lit("s"), F.col("label").cast("string")).alias("source_file"), F.lit("").alias("part"), F.col("id").alias("page_num")]
     whole = st.attach_vectors(vec.select(*key, "label"), vec.select(*key, "text_embedding"), vec.select(*key, "multimodal_embedding"))
-    return whole.select(
-        F.col("page_num").alias("vec_id"),
+    both = F.arrays_zip(F.col("text_embedding").alias("t"), F.col("multimodal_embedding").alias("m"))
+    return whole.select(F.col("page_num").alias("vec_id"), "label", F.posexplode(both).alias("dim", "v")).select(
+        "vec_id",
         "label",
-        F.col("text_embedding").isNotNull().alias("has_text"),
-        F.round(F.col("text_embedding")[0].cast("double"), 6).alias("first_text"),
-        F.round(F.col("multimodal_embedding")[0].cast("double"), 6).alias("first_image"),
+        F.col("dim").cast("bigint").alias("dim"),
+        F.round(F.col("v.t").cast("double"), 6).alias("text_v"),
+        F.round(F.col("v.m").cast("double"), 6).alias("image_v"),
     )
 
 
@@ -542,7 +544,9 @@ CHUNKS = PAGES + f""", routed AS (SELECT *, {ROUTE} AS route FROM pages
 
 
 def _chunks(spark, sf):
-    return build_chunks(fx.files(spark, sf), page_lines=20)
+    """Chunks of all files; an image's bytes are those of its document."""
+    files = fx.files(spark, sf)
+    return build_chunks(files.withColumn("content", F.when(F.col("name").endswith(".png"), F.col("text").cast("binary"))), page_lines=20)
 
 
 @query(f"WITH {CHUNKS} SELECT source_file, part, page_num, route, page_text, chunk_description FROM chunks")
@@ -671,10 +675,22 @@ def knn_by_pivots(spark, sf):
     return _knn(spark, sf, broadcast_bytes=0, block_rows=256)
 
 
-@query()
+# The same hyperplanes by md5, and the exact rank of the vectors that share a bucket.
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), planes AS (
+  SELECT p, list(1.0::DOUBLE - 2 * (instr('0123456789abcdef', md5('42:' || p || ':' || d)[1]) % 2 = 0)::INT ORDER BY d) AS w
+  FROM range(24) a(p), range(64) b(d) GROUP BY p
+), sides AS (SELECT vec_id, p // 3 AS t, p % 3 AS bit, (list_dot_product(e, w) >= 0)::BIGINT AS side FROM v, planes
+), buckets AS (SELECT vec_id, t, sum(side << bit) AS cell FROM sides GROUP BY ALL
+), pairs AS (SELECT DISTINCT a.vec_id AS qid, b.vec_id AS cid FROM buckets a JOIN buckets b USING (t, cell) WHERE a.vec_id <> b.vec_id
+), d AS (SELECT qid, cid, round(list_distance(a.e, b.e), 6) AS dist FROM pairs JOIN v a ON a.vec_id = qid JOIN v b ON b.vec_id = cid
+), r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, cid) AS rank FROM d)
+SELECT qid, cid, rank, dist FROM r WHERE rank <= 5""")
 def knn_lsh(spark, sf):
+    """Approximate neighbours: eight tables of three hyperplanes."""
     vec = fx.vectors(spark, sf)
-    return ks.knn_lsh(vec, vec, 5, "id", "id", dim=64, other_only=True)
+    hits = ks.knn_lsh(vec, vec, 5, "id", "id", dim=64, bits=3, other_only=True)
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def _page_vectors(spark, sf):
@@ -807,13 +823,14 @@ def append_eval(spark, sf):
 
 
 @query(f"""WITH {CHUNKS} SELECT source_file, part, page_num, replace(name, '.pdf', '') || '-page-' || page_num || '.json' AS object_name,
-  page_text, {summary_sql('page_text')} AS summary FROM chunks""")
+  page_text, {summary_sql('page_text')} AS summary, CASE WHEN route = 'image' THEN to_base64(encode(text)) END AS image_base64
+  FROM chunks LEFT JOIN (SELECT doc_id, text FROM documents) USING (doc_id)""")
 def page_records(spark, sf):
     """Page records written as JSON and read back."""
     folder = scratch_path(spark, "records")
     sr.write_page_records(to_page_records(om.extract_metadata(_chunks(spark, sf))), folder)
     back = sr.read_page_records(spark, folder)
-    return back.select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), "object_name", "page_text", F.col("metadata.summary").alias("summary"))
+    return back.select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), "object_name", "page_text", F.col("metadata.summary").alias("summary"), "image_base64")
 
 
 STORED = f"""WITH {CHUNKS}, described AS (SELECT *, {summary_sql('page_text')} AS summary FROM chunks)
@@ -898,3 +915,70 @@ def dedupe_events_stream(spark, sf):
     writer = unique.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{base}/out").select("bucket", "name")
+
+
+# Names that a file index would drop or take for patterns; some objects are missing, some are no text.
+ODD_FILES = f"""odd AS (
+  SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '_draft/' WHEN 2 THEN '.hid/' ELSE 'a[1]*/_' END || name AS name, {ROUTE} AS route FROM files)"""
+
+
+@query(f"""WITH {FILES}, {ODD_FILES} SELECT name, 1::BIGINT AS n, CASE WHEN route = 'unsupported' THEN 'unsupported' WHEN doc_id % 11 = 5 THEN 'transient'
+  WHEN doc_id % 13 = 6 AND route <> 'image' THEN 'undecoded' ELSE 'written' END AS outcome FROM odd""")
+def ingest_stream_outcomes(spark, sf):
+    """Objects in a folder, under names of all kinds: each event ends in exactly one place."""
+    base = scratch_path(spark, "objects")
+    folder = F.when(F.col("doc_id") % 4 == 0, "").when(F.col("doc_id") % 4 == 1, "_draft/").when(F.col("doc_id") % 4 == 2, ".hid/").otherwise("a[1]*/_")
+    files = fx.files(spark, sf).withColumn("name", F.concat(folder, "name"))
+    broken = F.concat(F.unhex(F.lit("FFFE00")), F.col("text").cast("binary"))
+    stored = files.filter("doc_id % 11 <> 5").withColumn("content", F.when(F.col("doc_id") % 13 == 6, broken).otherwise(F.col("text").cast("binary")))
+    fx.write_objects(stored.select("name", "content"), f"{base}/root")
+    sp.backfill(spark, files, f"{base}/events", sp.from_folder(spark, f"{base}/root"), f"{base}/out", f"{base}/cp1", page_lines=20).awaitTermination()
+    records = sr.read_page_records(spark, sp.records_dir(f"{base}/out")).select(F.expr(f"substring(source_file, {len('gs://' + fx.BUCKET) + 2})").alias("name")).distinct()
+    refused = sr.read_quarantine(spark, sp.quarantine_dir(f"{base}/out")).select(fj.json_field(F.try_parse_json("body"), "name").alias("name"), F.col("status").alias("outcome"))
+    return records.withColumn("outcome", F.lit("written")).unionByName(refused).groupBy("name").agg(F.count("*").alias("n"), F.max("outcome").alias("outcome"))
+
+
+@query(f"WITH {CHUNKS} SELECT source_file, part, page_num, 'again' AS summary FROM chunks")
+def ingest_stream_retry(spark, sf):
+    """A model that is out of service, or answers nonsense, the first time: after a retry every page is in the store."""
+    base = scratch_path(spark, "retry")
+    files = fx.files(spark, sf).select("bucket", "name", "text")
+    load, out = sp.from_table(files), f"{base}/out"
+
+    def ask(word):
+        def call(text, image):
+            if word == "first" and len(text) % 2:
+                raise type("ServiceUnavailable", (Exception,), {})("try later")
+            return "no answer" if word == "first" else '{"summary": "again"}'
+
+        return per_page(call, "metadata_raw")
+
+    sp.backfill(spark, files, f"{base}/events", load, out, f"{base}/cp1", page_lines=20, metadata_fn=ask("first")).awaitTermination()
+    sp.retry(spark, out, f"{base}/events")
+    sp.run_parse_stream(spark, f"{base}/events", load, out, f"{base}/cp1", page_lines=20, metadata_fn=ask("again")).awaitTermination()
+    sp.run_embed_stream(spark, out, f"{base}/store", f"{base}/cp2").awaitTermination()
+    return _stored(sr.read_store(spark, f"{base}/store")).select("source_file", "part", "page_num", "summary")
+
+
+@query(f"""WITH {CHUNKS}, {keywords_sql('chunks', 'source_file, part, page_num', 'page_text')}
+SELECT source_file, part, page_num, {summary_sql('page_text')} AS summary, array_to_string({entities_sql('page_text')}, '|') AS entities,
+  {type_sql('page_text')} AS document_type, coalesce(keywords, '') AS keywords FROM chunks LEFT JOIN kw USING (source_file, part, page_num)""")
+def ingest_stream_batches(spark, sf):
+    """Many small batches: with the corpus' statistics, what is said of a page does not depend on its batch."""
+    base = scratch_path(spark, "batches")
+    files = fx.files(spark, sf).select("bucket", "name", "text")
+    stats = written(om.word_stats(_chunks(spark, sf), "page_text"), "stats")
+    options = {"page_lines": 20, "max_files": 2, "word_stats": stats}
+    sp.backfill(spark, files, f"{base}/events", sp.from_table(files), f"{base}/out", f"{base}/cp1", **options).awaitTermination()
+    found = sr.read_page_records(spark, sp.records_dir(f"{base}/out"))
+    listed = lambda name: F.array_join(f"metadata.{name}", "|").alias({"extracted_entities": "entities"}.get(name, name))
+    return found.select(
+        "source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), "metadata.summary", listed("extracted_entities"), "metadata.document_type", listed("keywords")
+    )
+
+
+@query(f"WITH {CHUNKS} SELECT source_file, part, page_num, row_number() OVER (ORDER BY source_file, part, page_num) AS place FROM chunks")
+def order_pages(spark, sf):
+    """Reading order, with a running number."""
+    ordered = oc.order_pages(_chunks(spark, sf).select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), F.lit(0).alias("all")))
+    return number_rows(ordered, ["all"], ["source_file", "part", "page_num"], "place").drop("all")

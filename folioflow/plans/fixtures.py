@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.binary import b64_encode
 from folioflow.operators.chunks import line_blocks
+from folioflow.sources.files import open_root
 from folioflow.sources.tables import read_spread
 
 BUCKET = "corpus"
@@ -84,3 +85,19 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
         F.reverse("embedding").alias("multimodal_embedding"),
         "label",
     )
+
+
+def write_objects(objects: DataFrame, root: str) -> None:
+    """``name, content`` as objects below ``root``, each written by the task that holds it."""
+
+    def run(batches):
+        system, base = open_root(root)
+        for batch in batches:
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                path = f"{base}/{name}"
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(path) as out:
+                    out.write(content)
+            yield batch.slice(0, 0)
+
+    objects.select("name", "content").mapInArrow(run, "name string, content binary").write.format("noop").mode("overwrite").save()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.binary import b64_decode, b64_encode
@@ -17,8 +17,9 @@ from folioflow.functions.text import (
     route,
     source_uri,
 )
-from folioflow.operators.chunks import BLOCK_ROWS, PAGE_BREAK
+from folioflow.operators.chunks import BLOCK_ROWS, PAGE_BREAK, blocks_of
 from folioflow.operators.embed import embed_binary, embed_multimodal, embed_text
+from folioflow.operators.events import classify_error
 from folioflow.operators.plugins import Plugin
 from folioflow.operators.store import check_store_row, to_store_row
 from folioflow.schemas import IMAGE_DIM, TEXT_DIM
@@ -26,11 +27,6 @@ from folioflow.schemas import IMAGE_DIM, TEXT_DIM
 SHEET_NAME = "Sheet1"
 
 
-def _blocks_of_lines(text: Column, n: int) -> Column:
-    lines = F.split(text, "\n")
-    return F.transform(F.sequence(F.lit(1), F.size(lines), F.lit(n)), lambda i: F.array_join(F.slice(lines, i, n), "\n"))
-
-
 def build_chunks(files: DataFrame, page_lines: int | None = None, scheme: str = "gs") -> DataFrame:
     """Chunks of all routes in one pass: ``bucket, name, text`` (and ``content``) to page rows.
 
@@ -42,11 +38,13 @@ def build_chunks(files: DataFrame, page_lines: int | None = None, scheme: str =
         files = files.withColumn("content", F.lit(None).cast("binary"))
     kept = [c for c in files.columns if c not in ("text", "content")]
     kind, text = F.col("route"), F.col("text")
-    pages = _blocks_of_lines(text, page_lines) if page_lines else F.split(text, re.escape(PAGE_BREAK))
-    pieces = F.when(kind == "pdf", pages).when(kind == "sheet", _blocks_of_lines(text, BLOCK_ROWS)).otherwise(F.array(F.lit("")))
+    lines = F.col("_lines")
+    pages = blocks_of(lines, page_lines) if page_lines else F.split(text, re.escape(PAGE_BREAK))
+    pieces = F.when(kind == "pdf", pages).when(kind == "sheet", blocks_of(lines, BLOCK_ROWS)).otherwise(F.array(F.lit("")))
     exploded = (
         files.withColumn("route", route(F.col("name")))
         .filter(kind != "unsupported")
+        .withColumn("_lines", F.split(text, "\n"))
         .select(*kept, "route", "content", F.posexplode(pieces).alias("_pos", "_piece"))
     )
     chunks = exploded.select(
@@ -80,8 +78,10 @@ def embed_pages(
     image_dim: int = IMAGE_DIM,
     batch_id: int = 0,
     batch_rows: int | None = None,
+    policy: str = "by_type",
 ) -> DataFrame:
-    """Page records to store rows plus ``status``: ``ok``, ``no_summary`` or a broken contract.
+    """Page records to store rows plus ``status``: ``ok``, ``no_summary``, a broken contract, or
+    ``transient`` or ``permanent`` (by ``policy``) where a model failed, with its ``error``.
 
     The text vector is that of the summary. The second vector is that of the image alone, or of
     image and page text with ``with_text``. Pages without a summary skip the models' work: they
@@ -100,14 +100,22 @@ def embed_pages(
     # Without models there is nothing to spare: one pass, and a null summary gives a null vector.
     no_models = text_fn is None and image_fn is None
     good = ready if no_models else ready.filter(has_summary)
-    vectored = embed_text(good, text_fn, text_dim, batch_rows=batch_rows)
+    vectored = embed_text(good, text_fn, text_dim, batch_rows=batch_rows, error="text_error" if text_fn else None)
     embed_second = embed_multimodal if with_text else embed_binary
-    vectored = embed_second(vectored, image_fn, image_dim, batch_rows=batch_rows)
-    rows = check_store_row(to_store_row(vectored, batch_id), text_dim, image_dim)
-    missing = F.lit("no_summary" if no_models else "bad_text_embedding")
-    rows = rows.withColumn("status", F.when(F.col("text_embedding").isNull(), missing).otherwise(F.col("status")))
+    vectored = embed_second(vectored, image_fn, image_dim, batch_rows=batch_rows, error="image_error" if image_fn else None)
     if no_models:
-        return rows
-    no_vector = F.lit(None).cast("array<float>")
-    refused = ready.filter(~has_summary).withColumns({"text_embedding": no_vector, "multimodal_embedding": no_vector})
+        rows = check_store_row(to_store_row(vectored, batch_id), text_dim, image_dim)
+        return rows.withColumn("status", F.when(F.col("text_embedding").isNull(), "no_summary").otherwise(F.col("status")))
+    # A model that gives no vector has failed, whether it says so or not; such a row is never ok.
+    told = [F.col(c) for c in ("text_error", "image_error") if c in vectored.columns]
+    asked_image = F.col("image").isNotNull() | (F.lit(with_text) & F.col("page_text").isNotNull())
+    silent = F.when(F.col("text_embedding").isNull(), F.lit("BadAnswer: no text vector"))
+    if image_fn:
+        silent = silent.when(asked_image & F.col("multimodal_embedding").isNull(), F.lit("BadAnswer: no image vector"))
+    rows = check_store_row(to_store_row(vectored.withColumn("error", F.coalesce(*told, silent)), batch_id), text_dim, image_dim)
+    rows = rows.withColumn("status", F.when(F.col("error").isNotNull(), classify_error(F.col("error"), policy)).otherwise(F.col("status")))
+    none = F.lit(None)
+    refused = ready.filter(~has_summary).withColumns(
+        {"text_embedding": none.cast("array<float>"), "multimodal_embedding": none.cast("array<float>"), "error": none.cast("string")}
+    )
     return rows.unionByName(to_store_row(refused, batch_id).withColumn("status", F.lit("no_summary")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the package prefers. Nothing below depends on them for right results,
 # except that JSON with a repeated key is only readable with the first one.
@@ -22,6 +22,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int | None = None, *
     """A session for tests and benches; on a cluster use the one spark-submit gives you."""
     builder = SparkSession.builder.master(master).appName("folioflow").config("spark.ui.enabled", "false")
     builder = builder.config("spark.ui.showConsoleProgress", "false")
+    # Checkpoints of a batch go when nothing refers to them any more.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -40,7 +42,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="folioflow-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -52,3 +55,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back: computed once, and not again if an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,19 +2,50 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow.schemas import CHUNK_KEY, EVALUATION, PAGE_RECORD, STORE
 
 CORRUPT = "_corrupt_record"
+# Ledgers are kept in folders by hash of the file's name; a batch looks into those of its files only.
+LEDGER_BUCKETS = 64
 KEY_FIELDS = [field for field in PAGE_RECORD.fields if field.name in CHUNK_KEY]
 KEYS = T.StructType([*KEY_FIELDS, T.StructField("object_name", T.StringType())])
+QUARANTINE = "stage string, status string, error string, body string, at timestamp"
+FILES = T.StructType([T.StructField("source_file", T.StringType())])
+
+
+def ledger_bucket(source_file: str = "source_file") -> Column:
+    return F.pmod(F.xxhash64(source_file), F.lit(LEDGER_BUCKETS)).cast("int")
+
+
+def _append_ledger(rows: DataFrame, schema: T.StructType, folder: str) -> None:
+    named = rows.select(*[field.name for field in schema.fields], ledger_bucket().alias("bucket_no"))
+    named.repartition("bucket_no").write.mode("append").partitionBy("bucket_no").parquet(folder)
+
+
+def _read_ledger(spark: SparkSession, folder: str, schema: T.StructType, files: DataFrame | None) -> DataFrame:
+    """All entries, or those in the folders that the ``source_file`` of ``files`` point to."""
+    parted = T.StructType([*schema.fields, T.StructField("bucket_no", T.IntegerType())])
+    found = _read_or_empty(spark, folder, parted, "parquet")
+    if files is not None:
+        wanted = [row[0] for row in files.select(ledger_bucket()).distinct().collect()]  # LEDGER_BUCKETS numbers at most
+        found = found.filter(F.col("bucket_no").isin(wanted))
+    return found.drop("bucket_no")
+
+
+def compact_ledger(spark: SparkSession, folder: str, to: str) -> None:
+    """The ledger's entries, each once and a file a bucket, in a new folder."""
+    schema = spark.read.parquet(folder).drop("bucket_no").schema
+    _append_ledger(_read_or_empty(spark, folder, schema, "parquet").distinct(), schema, to)
 
 
-def _read_or_empty(spark: SparkSession, folder: str, schema: T.StructType, kind: str) -> DataFrame:
+def _read_or_empty(spark: SparkSession, folder: str, schema: T.StructType | str, kind: str) -> DataFrame:
     try:
         return spark.read.schema(schema).format(kind).load(folder)
     except AnalysisException as missing:
@@ -38,20 +69,33 @@ def write_page_records(pages: DataFrame, folder: str) -> None:
 
 def write_page_keys(pages: DataFrame, folder: str) -> None:
     """The narrow ledger of finished pages, so that a skip check never parses page bodies."""
-    pages.select(*[field.name for field in KEYS.fields]).write.mode("append").parquet(folder)
+    _append_ledger(pages, KEYS, folder)
 
 
-def read_page_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return _read_or_empty(spark, folder, KEYS, "parquet")
+def read_page_keys(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    return _read_ledger(spark, folder, KEYS, files)
 
 
-def append_store(rows: DataFrame, folder: str) -> None:
-    """Append store rows; the job commit makes the batch visible as one."""
+def write_done_files(files: DataFrame, folder: str) -> None:
+    """The ledger of files of which every page is done, so that a repeat need not even be opened."""
+    _append_ledger(files, FILES, folder)
+
+
+def read_done_files(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
+    return _read_ledger(spark, folder, FILES, files)
+
+
+def append_store(rows: DataFrame, folder: str, load: str | None = None) -> None:
+    """Add store rows; the job commit makes them visible as one.
+
+    A ``load`` that is written again replaces itself, so a batch that a stream replays leaves
+    its rows once.
+    """
     names = [field.name for field in STORE.fields]
-    rows.select(*names).write.mode("append").parquet(folder)
+    rows.select(*names).write.mode("overwrite").parquet(f"{folder}/load={load or uuid.uuid4().hex}")
 
 
-def upsert_store(rows: DataFrame, folder: str, batch_id: int | None = None) -> None:
+def upsert_store(rows: DataFrame, folder: str, batch_id: int | None = None, load: str | None = None) -> None:
     """Load rows so that a key loaded before gets its new values.
 
     Parquet has no merge: the rows are appended under their batch, and
@@ -59,12 +103,12 @@ def upsert_store(rows: DataFrame, folder: str, batch_id: int | None = None) -> N
     :func:`folioflow.operators.store.compact_store` rewrites the table. Loading a batch twice is
     therefore harmless.
     """
-    append_store(rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id).cast("long")), folder)
+    append_store(rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id).cast("long")), folder, load)
 
 
 def read_store(spark: SparkSession, folder: str) -> DataFrame:
     """All appended rows; take :func:`folioflow.operators.store.latest_per_key` for the current ones."""
-    return _read_or_empty(spark, folder, STORE, "parquet")
+    return _read_or_empty(spark, folder, STORE, "parquet").select(*[field.name for field in STORE.fields])
 
 
 def append_eval(rows: DataFrame, folder: str) -> DataFrame:
@@ -76,10 +120,17 @@ def append_eval(rows: DataFrame, folder: str) -> DataFrame:
 
 
 def write_quarantine(rows: DataFrame, folder: str, stage: str) -> None:
-    """Append refused inputs as JSON text with their status, one layout for every stage."""
+    """Append refused inputs as JSON text with their status, one layout for every stage; nothing if there are none."""
+    if rows.isEmpty():
+        return
     status = F.col("status")
     error = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
     body = F.to_json(F.struct(*[c for c in rows.columns if c not in ("status", "error")]))
     rows.select(
         F.lit(stage).alias("stage"), status, error.alias("error"), body.alias("body"), F.current_timestamp().alias("at")
     ).write.mode("append").parquet(folder)
+
+
+def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """``stage, status, error, body, at`` of everything refused."""
+    return _read_or_empty(spark, folder, QUARANTINE, "parquet")

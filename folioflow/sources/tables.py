@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+SPREAD_BYTES = 128 * 1024 * 1024
+
+
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """A table whose scan keeps every core busy.
 
-    A table stored in fewer splits than there are cores is redistributed after the scan, which
-    Catalyst still narrows to the needed columns and rows. A table with enough splits, as any
-    large one, is read as it is.
+    Small tables often come as one file, so one task would do all the work; they are dealt out
+    after the scan, which Catalyst still narrows to the needed columns and rows. Tables of more
+    than SPREAD_BYTES have splits of their own and are read as they are.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(spark.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df

@@ -7,6 +7,7 @@ whose key is in the ledger, and readers of the store see the newest row per key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,28 +15,33 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from folioflow.operators.events import classify_error, decode_events, dedupe_events, route_files, split_status
-from folioflow.functions.text import source_uri
+from folioflow.functions.json import json_field
+from folioflow.functions.text import route, source_uri
 from folioflow.operators.metadata import drop_failed, extract_metadata
 from folioflow.operators.plugins import Plugin
-from folioflow.operators.store import skip_done
+from folioflow.operators.store import chunk_id, skip_done
 from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
 from folioflow.schemas import PAGE_RECORD
 from folioflow.session import checkpoint_root
 from folioflow.sources.events import emit_backfill_events, read_events_stream
-from folioflow.sources.files import list_files
+from folioflow.sources.files import read_objects
 from folioflow.sources.records import (
     CORRUPT,
+    read_done_files,
     read_page_keys,
+    read_page_records,
+    read_quarantine,
+    read_store,
     upsert_store,
+    write_done_files,
     write_page_keys,
     write_page_records,
     write_quarantine,
 )
 
 AVAILABLE_NOW = {"availableNow": True}
-MAX_PATHS = 10_000
-# Names of at most 1,024 characters each, so at most about 50 MB when broadcast.
-MAX_BROADCAST_FILES = 50_000
+# Tries of an object or page, the first one included, before a transient failure is left alone.
+MAX_TRIES = 5
 
 # Gets events (bucket, name, ...) and returns those whose object exists, with text and content.
 Loader = Callable[[DataFrame], DataFrame]
@@ -49,6 +55,10 @@ def keys_dir(out: str) -> str:
     return f"{out}/keys"
 
 
+def files_dir(out: str) -> str:
+    return f"{out}/files"
+
+
 def quarantine_dir(out: str) -> str:
     return f"{out}/quarantine"
 
@@ -62,25 +72,11 @@ def from_table(files: DataFrame) -> Loader:
 
 
 def from_folder(spark: SparkSession, root: str) -> Loader:
-    """Objects in a folder. Names are matched on a listing without content first; then only the
-    wanted objects are opened, up to MAX_PATHS by path, more by a join with the whole folder."""
-
-    def load(events: DataFrame) -> DataFrame:
-        listed = list_files(spark, root).select("name", "path")
-        wanted = events.join(listed, "name")
-        paths = [row.path for row in wanted.select("path").distinct().limit(MAX_PATHS + 1).collect()]
-        if not paths:
-            return wanted.drop("path").withColumns({"content": F.lit(None).cast("binary"), "text": F.lit("")})
-        reader = spark.read.format("binaryFile")
-        if len(paths) <= MAX_PATHS:
-            opened = reader.load(paths)
-        else:
-            opened = reader.option("recursiveFileLookup", "true").load(root)
-        found = wanted.join(opened.select("path", "content"), "path").drop("path")
-        # Bytes of a codec are no text: they stay content only.
-        return found.withColumn("text", F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.lit("")))
-
-    return load
+    """Objects in a folder, opened by name inside the tasks; nothing is listed.
+
+    Content that is no UTF-8 text, as that of a codec, gives a null text.
+    """
+    return lambda events: read_objects(events, root).withColumn("text", F.try_validate_utf8(F.col("content").cast("string")))
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -89,14 +85,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin | None, page_lines: int | None, reprocess: bool) -> None:
-    """One batch of decoded events: refuse, skip, split, describe, write.
+def parse_events(
+    events: DataFrame, load: Loader, out: str, metadata_fn: Plugin | None, page_lines: int | None, reprocess: bool,
+    policy: str = "by_type", word_stats: DataFrame | None = None, skip_files: bool = False,
+) -> None:
+    """One batch of decoded events: refuse, skip, open, split, describe, write.
 
-    A model's answers are checkpointed, not cached: they are asked for once and outlive the
-    executor that got them. The default columns, which can be computed again, are cached.
+    Every object ends in one place: its pages are written, or it is refused, or it is done
+    already. With ``skip_files``, finished files are not even opened. A model's answers are
+    checkpointed, not cached: they are asked for once and outlive the executor that got them.
+    The default columns, which can be computed again, are cached.
     """
     spark = events.sparkSession
     held: list[DataFrame] = []
+    quarantine = quarantine_dir(out)
 
     def hold(df: DataFrame) -> DataFrame:
         held.append(df.persist())
@@ -104,33 +106,43 @@ def parse_events(events: DataFrame, load: Loader, out: str, metadata_fn: Plugin
 
     try:
         good, refused = split_status(hold(route_files(events)))
-        write_quarantine(refused, quarantine_dir(out), "event")
-        good = hold(good.select("bucket", "name").distinct())
-        files = load(good)
+        write_quarantine(refused, quarantine, "event")
+        good = good.select("bucket", "name").distinct().withColumn("source_file", source_uri(F.col("bucket"), F.col("name")))
+        if skip_files and not reprocess:
+            good = good.join(read_done_files(spark, files_dir(out), good), "source_file", "left_anti")
+        good = hold(good.select("bucket", "name"))
+        files = hold(load(good))
         lost = good.join(files.select("bucket", "name"), ["bucket", "name"], "left_anti")
         not_found = {"status": F.lit("transient"), "error": F.lit("NotFound: no such object")}
-        write_quarantine(lost.withColumns(not_found), quarantine_dir(out), "fetch")
+        write_quarantine(lost.withColumns(not_found), quarantine, "fetch")
+        # Pages and sheets are made from text; bytes of a codec wait for one.
+        unread = F.col("text").isNull() & route(F.col("name")).isin("pdf", "sheet")
+        why = {"status": F.lit("undecoded"), "error": F.lit("Undecoded: the content is no text")}
+        write_quarantine(files.filter(unread).select("bucket", "name").withColumns(why), quarantine, "decode")
+        files = files.filter(~unread)
 
         todo = build_chunks(files, page_lines)
         if not reprocess:
-            # The whole key has no hot value, so a large batch needs no help; a small one spares the
-            # shuffle of the ledger.
-            at_hand = None
-            if good.count() <= MAX_BROADCAST_FILES:
-                at_hand = F.broadcast(good.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file")))
-            todo = skip_done(todo, read_page_keys(spark, keys_dir(out)), "page", at_hand=at_hand)
+            named = good.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file"))
+            todo = skip_done(todo, read_page_keys(spark, keys_dir(out), named), "page")
         if metadata_fn is None:
             # The default metadata reads the pages more than once.
             todo = hold(todo)
-        described = extract_metadata(todo, metadata_fn)
+            if word_stats is None:
+                # Without a corpus a keyword's weight is its count: that needs no other page.
+                word_stats = spark.createDataFrame([], "word string, df bigint, total bigint")
+        described = extract_metadata(todo, metadata_fn, stats=word_stats)
         described = hold(described) if metadata_fn is None else settle(described)
+        finished = files.select(source_uri(F.col("bucket"), F.col("name")).alias("source_file"))
         if "error" in described.columns:
-            failed = described.filter(F.col("error").isNotNull()).withColumn("status", classify_error(F.col("error")))
-            write_quarantine(failed.drop("image"), quarantine_dir(out), "metadata")
+            failed = described.filter(F.col("error").isNotNull()).withColumn("status", classify_error(F.col("error"), policy))
+            write_quarantine(failed.drop("image"), quarantine, "metadata")
+            finished = finished.join(failed.select("source_file"), "source_file", "left_anti")
             described = drop_failed(described)
         write_page_records(to_page_records(described), records_dir(out))
         # After the records: a crash in between repeats pages, it never loses one.
         write_page_keys(described, keys_dir(out))
+        write_done_files(finished.distinct(), files_dir(out))
     finally:
         for df in held:
             df.unpersist()
@@ -148,13 +160,19 @@ def run_parse_stream(
     dedupe_delay: str | None = None,
     max_files: int | None = None,
     trigger: dict | None = None,
+    policy: str = "by_type",
+    word_stats: DataFrame | None = None,
+    skip_files: bool = False,
 ) -> StreamingQuery:
     """Stage 1: events to page records below ``out``.
 
     Events come from a folder of envelopes, or as a stream of ``bucket, name, event_time`` such
     as :func:`folioflow.sources.files.watch_files` gives. ``dedupe_delay`` also drops
     redeliveries of one object inside that time, before any work; it does so for a new upload
-    under the same name, too.
+    under the same name, too. The time is that of the arrival here, so no event comes too late.
+    ``word_stats`` (:func:`folioflow.operators.metadata.word_stats`) weighs the default keywords;
+    ``policy`` says which failures :func:`retry` sends again. ``skip_files`` leaves files alone
+    of which every page is done; an event for a changed object needs it off.
     """
     if isinstance(events, DataFrame):
         decoded = events.select("event_time", "bucket", "name", F.lit("ok").alias("status"))
@@ -163,28 +181,29 @@ def run_parse_stream(
         decoded = decoded.select("event_time", F.col("message.data").alias("data"), "bucket", "name", "status")
     if dedupe_delay:
         good, bad = split_status(decoded)
-        decoded = dedupe_events(good, dedupe_delay).unionByName(bad)
+        decoded = dedupe_events(good.withColumn("event_time", F.current_timestamp()), dedupe_delay).unionByName(bad)
 
     def batch(rows: DataFrame, batch_id: int) -> None:
-        parse_events(rows, load, out, metadata_fn, page_lines, reprocess)
+        parse_events(rows, load, out, metadata_fn, page_lines, reprocess, policy, word_stats, skip_files)
 
     return _start(decoded, batch, checkpoint, trigger)
 
 
 def embed_records(
-    records: DataFrame, store: str, out: str, batch_id: int, text_fn: Plugin | None, image_fn: Plugin | None, with_text: bool, batch_rows: int | None
+    records: DataFrame, store: str, out: str, batch_id: int, text_fn: Plugin | None, image_fn: Plugin | None, with_text: bool, batch_rows: int | None,
+    policy: str = "by_type", load: str | None = None,
 ) -> None:
-    """One batch of page records: vectors, contract checks, append."""
+    """One batch of page records: vectors, contract checks, append. A ``load`` written again replaces itself."""
     broken = F.col(CORRUPT).isNotNull() | F.col("source_file").isNull() | F.col("page_num").isNull()
     cached = records.persist()
     write_quarantine(cached.filter(broken).withColumn("status", F.lit("bad_record")), quarantine_dir(out), "record")
     readable = cached.filter(~broken).drop(CORRUPT).withColumn("part", F.coalesce("part", F.lit("")))
     # Used for the store and for the quarantine; a model is asked once.
-    rows = embed_pages(readable, text_fn, image_fn, with_text, batch_id=batch_id, batch_rows=batch_rows)
+    rows = embed_pages(readable, text_fn, image_fn, with_text, batch_id=batch_id, batch_rows=batch_rows, policy=policy)
     rows = rows.persist() if text_fn is None and image_fn is None else settle(rows)
     try:
         good, refused = split_status(rows)
-        upsert_store(good, store)
+        upsert_store(good, store, load=load)
         write_quarantine(refused, quarantine_dir(out), "store")
     finally:
         rows.unpersist()
@@ -202,6 +221,7 @@ def run_embed_stream(
     batch_rows: int | None = None,
     max_files: int | None = None,
     trigger: dict | None = None,
+    policy: str = "by_type",
 ) -> StreamingQuery:
     """Stage 2: new page records of stage 1 to store rows."""
     schema = T.StructType([*PAGE_RECORD.fields, T.StructField(CORRUPT, T.StringType())])
@@ -210,7 +230,8 @@ def run_embed_stream(
         reader = reader.option("maxFilesPerTrigger", str(max_files))
 
     def batch(records: DataFrame, batch_id: int) -> None:
-        embed_records(records, store, out, batch_id, text_fn, image_fn, with_text, batch_rows)
+        stream = records.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or md5(checkpoint.encode()).hexdigest()
+        embed_records(records, store, out, batch_id, text_fn, image_fn, with_text, batch_rows, policy, f"{stream}-{batch_id}")
 
     return _start(reader.json(records_dir(out)), batch, checkpoint, trigger)
 
@@ -233,7 +254,36 @@ def backfill(
     """Send every stored object through stage 1 again.
 
     Finished pages are skipped unless ``reprocess`` is set; then they get new records under the
-    same keys.
+    same keys. Files of which every page is done are not opened again (``skip_files``).
     """
+    options.setdefault("skip_files", True)
     emit_backfill_events(files.select("bucket", "name"), events_dir)
     return run_parse_stream(spark, events_dir, load, out, checkpoint, reprocess=reprocess, **options)
+
+
+def retry(spark: SparkSession, out: str, events_dir: str, max_tries: int = MAX_TRIES) -> DataFrame:
+    """Send the objects of stage 1 that failed transiently once more; returns them.
+
+    An object is sent as long as it is not done and has been tried less than ``max_tries`` times;
+    of a sent file, stage 1 does the pages that are missing.
+    """
+    told = read_quarantine(spark, quarantine_dir(out)).filter(F.col("stage").isin("fetch", "metadata"))
+    named = told.withColumns({c: json_field(F.try_parse_json("body"), c) for c in ("bucket", "name")})
+    tries = named.groupBy("bucket", "name").agg(F.countDistinct(F.when(F.col("status") == "transient", F.col("at"))).alias("tries"))
+    open_ = tries.filter((F.col("tries") > 0) & (F.col("tries") < max_tries)).withColumn("source_file", source_uri(F.col("bucket"), F.col("name")))
+    again = settle(open_.join(read_done_files(spark, files_dir(out)), "source_file", "left_anti").select("bucket", "name"))
+    if not again.isEmpty():
+        emit_backfill_events(again, events_dir)
+    return again
+
+
+def retry_vectors(
+    spark: SparkSession, out: str, store: str, text_fn: Plugin | None = None, image_fn: Plugin | None = None, with_text: bool = False,
+    batch_rows: int | None = None, max_tries: int = MAX_TRIES, policy: str = "by_type",
+) -> None:
+    """Ask the models of stage 2 once more for the pages that failed transiently and are not in the store."""
+    told = read_quarantine(spark, quarantine_dir(out)).filter((F.col("stage") == "store") & (F.col("status") == "transient"))
+    ids = told.select(json_field(F.try_parse_json("body"), "id").alias("id"), "at").groupBy("id").agg(F.countDistinct("at").alias("tries"))
+    wanted = ids.filter(F.col("tries") < max_tries).join(read_store(spark, store).select("id"), "id", "left_anti")
+    records = read_page_records(spark, records_dir(out)).withColumn("id", chunk_id())
+    embed_records(records.join(wanted, "id", "left_semi").drop("id"), store, out, 0, text_fn, image_fn, with_text, batch_rows, policy)
