@@ -32,9 +32,11 @@ from folioflow.llm.common import kept, packed, rows_of
 # Labelled rows that a model is fitted on, at most: those of smallest hash of their id.
 TRAIN_ROWS = 40_000
 FOLDS = 5
-# A lexicon term stands in this many toxic training documents at least, and its odds are this many times as high.
+# A lexicon term stands in this many toxic training documents at least, and in this share of them, and its odds are
+# this many times as high as in others.
 LEAST_TOXIC = 4
-LEAST_ODDS = 12.0
+LEAST_SHARE = 0.01
+LEAST_ODDS = 20.0
 LEXICON_TERMS = 5_000
 STEM_LENGTHS = (4, 5, 6)
 # Errors allowed in a word of at least so many letters.
@@ -218,7 +220,7 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     n_toxic, n_clean = sum(n for t, n in sizes.items() if t), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return {}, {}
-    common = summed(train.filter("toxic <> 0")).filter(F.col("toxic") >= LEAST_TOXIC)
+    common = summed(train.filter("toxic <> 0")).filter(F.col("toxic") >= max(LEAST_TOXIC, LEAST_SHARE * n_toxic))
     # A term of even odds stands in few more toxic documents than clean ones; candidates are bounded by the sample.
     seen = {(r.term, r.stem): r.toxic for r in common.select("term", "stem", "toxic").collect()}
     clean = {(r.term, r.stem): r.clean for r in summed(train.filter("toxic = 0"), frozenset(seen)).collect()}
