@@ -26,7 +26,7 @@ from folioflow.operators import store as st
 from folioflow.operators.plugins import per_page
 from folioflow.plans import fixtures as fx
 from folioflow.plans.evaluation import evaluate
-from folioflow.plans.ingest import build_chunks, embed_pages, to_page_records
+from folioflow.plans.ingest import build_chunks, embed_pages, sheet_chunks, to_page_records
 from folioflow.operators.ranking import number_rows
 from folioflow.session import scratch_path, written
 from folioflow.sources import events as se
@@ -549,10 +549,16 @@ def _chunks(spark, sf):
     return build_chunks(files.withColumn("content", F.when(F.col("name").endswith(".png"), F.col("text").cast("binary"))), page_lines=20)
 
 
-@query(f"WITH {CHUNKS} SELECT source_file, part, page_num, route, page_text, chunk_description FROM chunks")
+SHEETS = sheet_sql("lineitem", "l_returnflag", ", ".join(LINE_CELLS), LINE_CELLS_SQL)
+
+
+@query(f"""WITH {CHUNKS} SELECT source_file, part, page_num, route, page_text, chunk_description FROM chunks
+UNION ALL SELECT 'gs://corpus/tables/lineitem.xlsx', sheet, block + 1, 'sheet', {strip_sql('text')},
+  'Content from sheet ' || chr(39) || sheet || chr(39) || ', ' || label || ' in file tables/lineitem.xlsx' FROM ({SHEETS})""")
 def build_all_chunks(spark, sf):
-    """All routes in one table."""
-    return _chunks(spark, sf).select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), "route", "page_text", "chunk_description")
+    """All routes in one table, with the sheets of an ordered table under their names."""
+    sheets = sheet_chunks(_sheet(spark, sf), fx.BUCKET, "tables/lineitem.xlsx")
+    return oc.union_chunks(_chunks(spark, sf), sheets).select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), "route", "page_text", "chunk_description")
 
 
 @query(f"""WITH {CHUNKS}, described AS (SELECT *, {summary_sql('page_text')} AS summary FROM chunks)

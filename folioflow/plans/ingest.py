@@ -64,6 +64,26 @@ def build_chunks(files: DataFrame, page_lines: int | None = None, scheme: str =
     ).filter((kind != "sheet") | (F.col("page_text") != ""))
 
 
+def sheet_chunks(blocks: DataFrame, bucket: str, name: str, sheet: str = "sheet", scheme: str = "gs") -> DataFrame:
+    """The blocks of an ordered table (:func:`folioflow.operators.chunks.row_blocks`) as chunks of the file ``name``.
+
+    Every sheet goes by its own name; a block's number is its page number.
+    """
+    file, page = F.lit(name), (F.col("block") + 1).cast("int")
+    return blocks.select(
+        F.lit(bucket).alias("bucket"),
+        file.alias("name"),
+        F.lit("sheet").alias("route"),
+        source_uri(F.lit(bucket), file, scheme).alias("source_file"),
+        F.col(sheet).alias("part"),
+        page.alias("page_num"),
+        py_strip(F.col("text")).alias("page_text"),
+        F.lit(None).cast("binary").alias("image"),
+        page_object_name(file, page).alias("object_name"),
+        chunk_description(F.lit("sheet"), file, page, F.col(sheet), F.col("label")).alias("chunk_description"),
+    ).filter(F.col("page_text") != "")
+
+
 def to_page_records(chunks: DataFrame) -> DataFrame:
     """Chunks with metadata in the layout of the page record file."""
     return chunks.withColumn("image_base64", b64_encode(F.col("image")))
