@@ -144,3 +144,65 @@ def test_objects_from_a_folder(spark, tmp_path):
     got = {r.source_file + str(r.page_num): r for r in read_store(spark, run.store).collect()}
     assert sorted(got) == ["gs://b/d/a.pdf1", "gs://b/d/a.pdf2", "gs://b/i.png0"]
     assert len(got["gs://b/i.png0"].multimodal_embedding) == 1408 and got["gs://b/d/a.pdf1"].multimodal_embedding is None
+
+
+def test_failures_of_models_are_retried(spark, tmp_path):
+    """Unusable answers and models out of service leave nothing in the ledger or the store; a retry does them."""
+    run, files = Run(spark, str(tmp_path)), files_of(spark)
+    load, events = sp.from_table(files), f"{run.base}/events"
+
+    def metadata(answer):
+        return per_page(lambda text, image: answer, "metadata_raw")
+
+    def vectors(works):
+        def model(batches):
+            for batch in batches:
+                if not works:
+                    raise type("ServiceUnavailable", (Exception,), {})("later")
+                yield pd.DataFrame({"text_embedding": [[0.0] * 768] * len(batch)})
+
+        return model
+
+    emit_backfill_events(files.select("bucket", "name"), events)
+    run.stage1(load, metadata_fn=metadata('{"summary": '))
+    assert read_page_keys(spark, sp.keys_dir(run.out)).count() == 0
+    assert run.refused().count(("metadata", "transient")) == 5
+    assert {r.name for r in sp.retry(spark, run.out, events).collect()} == {"a.pdf", "s.xlsx", "e.pdf"}
+    run.stage1(load, metadata_fn=metadata('{"summary": "s"}'))
+    run.stage2(text_fn=vectors(False))
+    assert run.rows() == set() and run.refused().count(("store", "transient")) == 5
+    sp.retry_vectors(spark, run.out, run.store, text_fn=vectors(True))
+    assert run.rows() == KEYS | {("gs://b/e.pdf", "", 1)}
+    sp.retry_vectors(spark, run.out, run.store, text_fn=vectors(True))
+    assert read_store(spark, run.store).count() == 5 and sp.retry(spark, run.out, events).count() == 0
+
+
+def test_finished_files_are_not_opened_again(spark, tmp_path):
+    root = tmp_path / "objects"
+    root.mkdir()
+    (root / "_a[1].pdf").write_text("One.\fTwo.")
+    (root / ".x.pdf").write_bytes(b"%PDF\xff\xfe")
+    run = Run(spark, str(tmp_path))
+    files = list_files(spark, str(root), bucket="b")
+    assert {r.name for r in files.collect()} == {"_a[1].pdf", ".x.pdf"}
+    opened = []
+
+    def load(events):
+        opened.append({r.name for r in events.collect()})
+        return sp.from_folder(spark, str(root))(events)
+
+    for _ in range(2):
+        sp.backfill(spark, files, f"{run.base}/events", load, run.out, f"{run.base}/cp1").awaitTermination()
+    assert opened == [{"_a[1].pdf", ".x.pdf"}, {".x.pdf"}]
+    assert read_page_records(spark, sp.records_dir(run.out)).count() == 2
+    assert set(run.refused()) == {("decode", "undecoded")}
+
+
+def test_a_replayed_batch_replaces_its_rows(spark, tmp_path):
+    run, files = Run(spark, str(tmp_path)), files_of(spark)
+    emit_backfill_events(files.select("bucket", "name"), f"{run.base}/events")
+    run.stage1(sp.from_table(files))
+    records = read_page_records(spark, sp.records_dir(run.out))
+    for _ in range(2):
+        sp.embed_records(records, run.store, run.out, 0, None, None, False, None, load="q-0")
+    assert read_store(spark, run.store).count() == len(KEYS)
