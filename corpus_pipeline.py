@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import folioflow
 from folioflow.llm import byte_bpe, decontaminate, line_dedup, simhash, toxicity
@@ -21,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go; every document stays."""
-    return line_dedup.drop_lines(docs, line_dedup.line_bitmaps(docs))
+    """Lines found in ten documents or more go; every document stays, with its new length."""
+    left = line_dedup.drop_lines(docs, line_dedup.line_bitmaps(docs))
+    return left.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

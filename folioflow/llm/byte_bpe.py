@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import packed, rows_of
+from folioflow.llm.common import in_large_tasks, packed, rows_of
 
 # Units of text that a task remembers; when there are more it starts anew. Bounds memory, not results.
 UNITS_KEPT = 700_000
@@ -32,8 +32,6 @@ BATCH_CHARS = 4 << 20
 NEVER = 1 << 30
 # A word of more bytes is merged with a heap: folding takes time in the square of a word's length.
 FOLD_BYTES = 96
-# Text of one task, before compression. More text in a task means fewer words that several tasks fold.
-TASK_BYTES = 96 << 20
 SLOTS = 1 << 18
 STEP = 1 << 20  # a merge candidate is rank * STEP + place
 NONE = 1 << 40
@@ -281,13 +279,6 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, finish, schema: str, d
     return in_large_tasks(narrow).mapInArrow(run, schema)
 
 
-def in_large_tasks(df: DataFrame, size: int = TASK_BYTES) -> DataFrame:
-    """Fewer, larger tasks where the input comes in many small splits; never fewer than the cores, no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return df.coalesce(max(cores, -(-total // size)))
-
-
 IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 

@@ -13,6 +13,8 @@ from folioflow.session import checkpoint_root, scratch_path
 
 # Rows that Python hands back at a time; bounds the memory of an output batch.
 OUT_ROWS = 4096
+# Text of one task, before compression, where the distinct words of a task are what costs.
+TASK_BYTES = 96 << 20
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str, step: int = 256) -> Iterator[tuple]:
@@ -56,6 +58,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_large_tasks(df: DataFrame, text: str = "text", size: int = TASK_BYTES) -> DataFrame:
+    """Fewer, larger tasks where the input comes in many small splits; never fewer than the cores, no shuffle.
+
+    For work whose cost is in the distinct words of a task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return df.coalesce(max(cores, -(-total // size)))
+
+
 def text_key(text: str = "text"):
     """Tells rows of one document id apart by what they say; null differs from empty."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())

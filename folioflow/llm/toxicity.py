@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import kept, packed, rows_of
+from folioflow.llm.common import in_large_tasks, kept, packed, rows_of
 
 # Labelled rows that a model is fitted on, at most: those of smallest hash of their id.
 TRAIN_ROWS = 40_000
@@ -39,13 +39,14 @@ LEAST_SHARE = 0.01
 LEAST_ODDS = 20.0
 LEXICON_TERMS = 5_000
 STEM_LENGTHS = (4, 5, 6)
-# Errors allowed in a word of at least so many letters.
-ERRORS = ((5, 1), (9, 2))
+# Errors allowed in a word of at least so many letters. Two errors in long words are possible, but cost more time than
+# the corpus allows: a third of a term is found in too many words.
+ERRORS = ((5, 1),)
 # A word in so many clean training documents is no misspelling.
 CLEAN_WORD = 2
 CONTEXT = 6
 QUOTED = 0.35
-WORDS_KEPT = 400_000
+WORDS_KEPT = 700_000
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile("[\"“”«»„]")
@@ -56,6 +57,10 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def allowed_errors(size: int) -> int:
+    return max((k for n, k in ERRORS if size >= n), default=0)
+
+
 class Trie:
     """Lexicon terms with weights; a stem stands for every word that begins with it."""
 
@@ -69,10 +74,29 @@ class Trie:
             for letter in term:
                 node = node.setdefault(letter, {})
             node[END] = term
-        # A word with k errors keeps one of k + 1 parts of a term in place, seen from one of its ends.
-        self.heads = {t[: len(t) // 3 + 1] for t in terms}
-        self.tails = {t[-(len(t) // 3 + 1) :] for t in terms}
-        self.sizes = sorted({len(t) // 3 + 1 for t in terms})
+        # A word with k errors keeps one of the k + 1 parts of a term: its first or last letters in place, or a part between.
+        # Parts are held by the length of the word, since a term's length is within k of it.
+        self.parts: dict[int, tuple[set[str], set[str], set[str]]] = {}
+        for size in range(ERRORS[0][0], max(map(len, terms), default=0) + 3):
+            k = allowed_errors(size)
+            near = [t for t in terms if abs(len(t) - size) <= k]
+            cut = [[t[len(t) * i // (k + 1) : len(t) * (i + 1) // (k + 1)] for i in range(k + 1)] for t in near]
+            self.parts[size] = {c[0] for c in cut}, {c[-1] for c in cut}, {p for c in cut for p in c[1:-1]}
+        self.sizes = {m: tuple(sorted({len(p) for p in found}) for found in parts) for m, parts in self.parts.items()}
+
+    def may_be_close(self, word: str) -> bool:
+        """False only if no term is within the errors allowed; spares most words the walk."""
+        size = len(word)
+        if size not in self.parts:
+            return False
+        (heads, tails, middles), (n_heads, n_tails, n_middles) = self.parts[size], self.sizes[size]
+        for n in n_heads:
+            if word[:n] in heads:
+                return True
+        for n in n_tails:
+            if word[size - n :] in tails:
+                return True
+        return any(word[i : i + n] in middles for n in n_middles for i in range(size - n + 1))
 
     def exact(self, word: str) -> tuple[str, float] | None:
         weight = self.terms.get(word)
@@ -85,11 +109,9 @@ class Trie:
 
     def close(self, word: str) -> tuple[str, int] | None:
         """The term with fewest errors within what the word's length allows, and the errors."""
-        allowed = max((k for n, k in ERRORS if len(word) >= n), default=0)
-        if not allowed:
-            return None
-        if allowed == 1 and not any(word[:n] in self.heads or word[-n:] in self.tails for n in self.sizes):
+        if not self.may_be_close(word):
             return None
+        allowed = allowed_errors(len(word))
         masks: dict[str, int] = {}
         for i, letter in enumerate(word):
             masks[letter] = masks.get(letter, 0) | 1 << i
@@ -152,7 +174,7 @@ class Finder:
         """Weights of the hits in context, numbers of hits, of different terms, of hits in a thousand words, quoted."""
         words = words_of(text or "")
         some = set(words)
-        new = some - self.known.keys()
+        new = [w for w in some if w not in self.known]
         if new:
             self.learn(some if len(self.known) > WORDS_KEPT else new)
         if self.hits.isdisjoint(some):
@@ -236,6 +258,8 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     terms = {t: w for s, _, t, w, _ in rated if not s}
     # A stem that only one word has says no more than the word.
     stems = {s: w for s, w in stems.items() if sum(t.startswith(s) for t in terms) != 1 or s in terms}
+    # A word that a stem stands for need not be in the trie: misspellings are sought of words of their own.
+    terms = {t: w for t, w in terms.items() if not any(t[:n] in stems for n in STEM_LENGTHS)}
     strongest = sorted(terms.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS]
     return dict(strongest), dict(sorted(stems.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS])
 
@@ -312,7 +336,7 @@ def score(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text
         yield from packed(((d, *value(finder, model, t)) for d, t in rows_of(batches, "doc_id", "text")), SCORES)
 
     narrow = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    scored = narrow.mapInArrow(run, "doc_id bigint, score double, n_hits int")
+    scored = in_large_tasks(narrow).mapInArrow(run, "doc_id bigint, score double, n_hits int")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_hits")
 
 
@@ -334,7 +358,7 @@ def without_toxic(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for texts in batches:
             yield texts.map(lambda t: value(finder, model, t)[0] < 0.5).astype(bool)
 
-    return df.filter(clean(F.col(text)))
+    return in_large_tasks(df, text).filter(clean(F.col(text)))
 
 
 def digest(documents: DataFrame, labels: DataFrame) -> DataFrame:

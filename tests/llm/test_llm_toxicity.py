@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from folioflow.llm import toxicity
 
 
@@ -19,7 +21,9 @@ def _next(row, i, x, b):
     return out
 
 
-def test_automaton():
+@pytest.mark.parametrize("errors", [((5, 1),), ((4, 1), (8, 2))])
+def test_automaton(monkeypatch, errors):
+    monkeypatch.setattr(toxicity, "ERRORS", errors)
     draw = random.Random(1)
     terms = {t: 1.0 for t in ("idiot", "stupid", "pathetic", "worthless", "scum", "disgusting")}
     trie = toxicity.Trie(terms, {})
@@ -29,7 +33,7 @@ def test_automaton():
             at = draw.randrange(len(word) + 1)
             word[at : at + draw.randint(0, 1)] = draw.choice(["", "x", "i", "t"])
         word = "".join(word)
-        allowed = max((k for n, k in toxicity.ERRORS if len(word) >= n), default=0)
+        allowed = toxicity.allowed_errors(len(word))
         near = sorted((distance(word, t), t) for t in terms if 0 < distance(word, t) <= allowed)
         found = trie.close(word)
         assert found == ((near[0][1], near[0][0]) if near else None) or word in terms
