@@ -13,7 +13,7 @@ from folioflow.schemas import CHUNK_KEY, EVALUATION, PAGE_RECORD, STORE
 
 CORRUPT = "_corrupt_record"
 # Ledgers are kept in folders by hash of the file's name; a batch looks into those of its files only.
-LEDGER_BUCKETS = 64
+LEDGER_BUCKETS = 16
 KEY_FIELDS = [field for field in PAGE_RECORD.fields if field.name in CHUNK_KEY]
 KEYS = T.StructType([*KEY_FIELDS, T.StructField("object_name", T.StringType())])
 QUARANTINE = "stage string, status string, error string, body string, at timestamp"
