@@ -38,6 +38,8 @@ LEAST_TOXIC = 4
 LEAST_SHARE = 0.01
 LEAST_ODDS = 20.0
 LEXICON_TERMS = 5_000
+# Misspellings are sought of the strongest terms; the words of a few labelled copies of one text can be many more.
+SPELLED_TERMS = 100
 STEM_LENGTHS = (4, 5, 6)
 # Errors allowed in a word of at least so many letters. Two errors in long words are possible, but cost more time than
 # the corpus allows: a third of a term is found in too many words.
@@ -62,14 +64,15 @@ def allowed_errors(size: int) -> int:
 
 
 class Trie:
-    """Lexicon terms with weights; a stem stands for every word that begins with it."""
+    """Lexicon terms with weights; a stem stands for every word that begins with it. The trie holds the strongest terms."""
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float]):
         self.root: dict = {}
         self.stems = stems
         self.lengths = sorted({len(s) for s in stems}, reverse=True)
         self.terms = terms
-        for term in terms:
+        spelled = sorted(terms, key=lambda t: (-terms[t], t))[:SPELLED_TERMS]
+        for term in spelled:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
@@ -77,9 +80,9 @@ class Trie:
         # A word with k errors keeps one of the k + 1 parts of a term: its first or last letters in place, or a part between.
         # Parts are held by the length of the word, since a term's length is within k of it.
         self.parts: dict[int, tuple[set[str], set[str], set[str]]] = {}
-        for size in range(ERRORS[0][0], max(map(len, terms), default=0) + 3):
+        for size in range(ERRORS[0][0], max(map(len, spelled), default=0) + 3):
             k = allowed_errors(size)
-            near = [t for t in terms if abs(len(t) - size) <= k]
+            near = [t for t in spelled if abs(len(t) - size) <= k]
             cut = [[t[len(t) * i // (k + 1) : len(t) * (i + 1) // (k + 1)] for i in range(k + 1)] for t in near]
             self.parts[size] = {c[0] for c in cut}, {c[-1] for c in cut}, {p for c in cut for p in c[1:-1]}
         self.sizes = {m: tuple(sorted({len(p) for p in found}) for found in parts) for m, parts in self.parts.items()}
