@@ -1,7 +1,7 @@
 """Toxicity by a learned lexicon, misspellings and the context of a hit.
 
 The lexicon is learned: words and word beginnings that stand far more often in documents labelled toxic than in
-others, counted by Spark over a bounded sample of labelled rows. It is held as a trie. A word is looked up by
+others, counted by Spark over a bounded sample of labelled rows, each distinct text once. It is held as a trie. A word is looked up by
 walking the trie with a Levenshtein automaton of the word (the usual bit-parallel one, a bit vector per error), so
 one walk finds all terms within the allowed number of errors. Words that stand in clean documents are no
 misspellings. A hit counts less inside quotation marks with nothing said against someone around it, and more beside
@@ -9,7 +9,7 @@ other hits. A document's score is logistic in a few sums over its hits, fitted o
 not seen. Terms, weights and coefficients are of bounded size and go to every task; texts stay where they are.
 
 A null or empty text has no hits and gets the score of a text without any. Repeated rows are scored each time.
-Without toxic or without clean labels the score is the share of toxic labels (0 without labels). Labels that are
+Without toxic or without clean labels the score is the share of toxic ones among labelled texts (0 without labels). Labels that are
 null, or of unknown documents, are passed over. No column but the id and the text is an input of a score.
 """
 
@@ -38,8 +38,6 @@ LEAST_TOXIC = 4
 LEAST_SHARE = 0.01
 LEAST_ODDS = 20.0
 LEXICON_TERMS = 5_000
-# Misspellings are sought of the strongest terms; the words of a few labelled copies of one text can be many more.
-SPELLED_TERMS = 100
 STEM_LENGTHS = (4, 5, 6)
 # Errors allowed in a word of at least so many letters. Two errors in long words are possible, but cost more time than
 # the corpus allows: a third of a term is found in too many words.
@@ -63,16 +61,24 @@ def allowed_errors(size: int) -> int:
     return max((k for n, k in ERRORS if size >= n), default=0)
 
 
+def shortened(word: str, k: int) -> set[str]:
+    """The word without any of its letters, up to k."""
+    found = last = {word}
+    for _ in range(k):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        found = found | last
+    return found
+
+
 class Trie:
-    """Lexicon terms with weights; a stem stands for every word that begins with it. The trie holds the strongest terms."""
+    """Lexicon terms with weights; a stem stands for every word that begins with it. The trie holds every term."""
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float]):
         self.root: dict = {}
         self.stems = stems
         self.lengths = sorted({len(s) for s in stems}, reverse=True)
         self.terms = terms
-        spelled = sorted(terms, key=lambda t: (-terms[t], t))[:SPELLED_TERMS]
-        for term in spelled:
+        for term in terms:
             node = self.root
             for letter in term:
                 node = node.setdefault(letter, {})
@@ -80,18 +86,25 @@ class Trie:
         # A word with k errors keeps one of the k + 1 parts of a term: its first or last letters in place, or a part between.
         # Parts are held by the length of the word, since a term's length is within k of it.
         self.parts: dict[int, tuple[set[str], set[str], set[str]]] = {}
-        for size in range(ERRORS[0][0], max(map(len, spelled), default=0) + 3):
+        for size in range(ERRORS[0][0], max(map(len, terms), default=0) + 3):
             k = allowed_errors(size)
-            near = [t for t in spelled if abs(len(t) - size) <= k]
+            near = [t for t in terms if abs(len(t) - size) <= k]
             cut = [[t[len(t) * i // (k + 1) : len(t) * (i + 1) // (k + 1)] for i in range(k + 1)] for t in near]
             self.parts[size] = {c[0] for c in cut}, {c[-1] for c in cut}, {p for c in cut for p in c[1:-1]}
         self.sizes = {m: tuple(sorted({len(p) for p in found}) for found in parts) for m, parts in self.parts.items()}
+        # A word with k errors and its term become one string when each loses up to k letters; hashes of the terms' ones.
+        most = max((k for _, k in ERRORS), default=0)
+        self.shortened = {hash(x) for t in terms for x in shortened(t, most)}
 
     def may_be_close(self, word: str) -> bool:
         """False only if no term is within the errors allowed; spares most words the walk."""
         size = len(word)
         if size not in self.parts:
             return False
+        return self.has_part(word) and any(hash(x) in self.shortened for x in shortened(word, allowed_errors(size)))
+
+    def has_part(self, word: str) -> bool:
+        size = len(word)
         (heads, tails, middles), (n_heads, n_tails, n_middles) = self.parts[size], self.sizes[size]
         for n in n_heads:
             if word[:n] in heads:
@@ -206,14 +219,18 @@ def held_out(doc_id):
 
 
 def training(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """fold, toxic, text of at most ``rows`` labelled documents that are not held out."""
+    """fold, toxic, text of the distinct texts among at most ``rows`` labelled documents that are not held out.
+
+    A text counts once however often it is copied, in the fold of its least id; it is toxic if a copy is.
+    """
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("toxic").cast("int").alias("toxic"))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").cast("string").alias("text"))
     fold = F.pmod(F.crc32(F.col("_id").cast("string").cast("binary")), F.lit(FOLDS)).cast("int")
-    joined = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_doc")).select(fold.alias("fold"), "toxic", F.coalesce("text", F.lit("")).alias("text"))
-    return kept(joined, "labelled")
+    joined = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_doc")).select("_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    apart = joined.groupBy("text").agg(F.min("_id").alias("_id"), F.max("toxic").alias("toxic"))
+    return kept(apart.select(fold.alias("fold"), "toxic", "text"), "labelled")
 
 
 COUNTS = pa.schema([("term", pa.string()), ("stem", pa.bool_()), ("toxic", pa.int64()), ("clean", pa.int64())])

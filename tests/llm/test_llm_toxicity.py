@@ -87,3 +87,21 @@ def test_odd(spark, docs, odd_rows):
     got = toxicity.score(docs(*odd_rows), model).collect()
     assert len(got) == len(odd_rows) and not any(r.predicted for r in got)
     assert toxicity.score(some.limit(0), model).count() == 0 and toxicity.fit(some.limit(0), labels).terms == {}
+
+
+def test_every_term_is_spelled():
+    draw = random.Random(8)
+    terms = {"".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)): 5.0 - i / 1000 for i in range(400)}
+    trie = toxicity.Trie(terms, {})
+    assert all(trie.close(t[:4] + "0" + t[5:]) == (t, 1) and trie.close(t[1:]) == (t, 1) for t in terms)
+
+
+def test_copies_count_once(spark):
+    """One toxic text copied over and over does not bring its own words into the lexicon."""
+    docs, labels = made(spark, 600, 9)
+    rare = " ".join(f"rareword{c}{d}" for c in "abcdefghijklmn" for d in "opqrstuvwxyz")
+    copies = [(10_000 + i, rare + " moron", "src", 1, "x") for i in range(300)]
+    docs = docs.union(spark.createDataFrame(copies, docs.schema))
+    labels = labels.union(spark.createDataFrame([(d, 1, 1) for d, *_ in copies], labels.schema))
+    model = toxicity.fit(docs, labels)
+    assert "moron" in model.terms and not any(t.startswith("rare") for t in [*model.terms, *model.stems])
