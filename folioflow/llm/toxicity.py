@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -202,11 +203,11 @@ class Finder:
         marks = [m.start() for m in QUOTES.finditer(lowered)]
         places = [(i, m.start(), self.known.get(m[0])) for i, m in enumerate(WORD.finditer(lowered))]
         found = [(i, at, hit) for i, at, hit in places if hit]
+        order = [i for i, _, _ in found]
         total, quoted = 0.0, 0
         for i, at, (term, weight) in found:
-            beside = sum(1 for j, _, hit in found if j != i and abs(j - i) <= CONTEXT) if len(found) < 200 else 1
-            before = sum(1 for m in marks if m < at) if len(marks) < 200 else 0
-            inside = before % 2 == 1 and not beside
+            beside = bisect_right(order, i + CONTEXT) - bisect_left(order, i - CONTEXT) - 1
+            inside = bisect_left(marks, at) % 2 == 1 and not beside
             quoted += inside
             total += weight * (QUOTED if inside else 1.0 + 0.1 * min(beside, 3))
         terms = {hit[0] for _, _, hit in found}

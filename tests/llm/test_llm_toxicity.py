@@ -1,5 +1,6 @@
 """Toxicity: the automaton against plain edit distance, held-out accuracy, misspellings, quotation, odd rows."""
 
+import math
 import random
 
 import pytest
@@ -105,3 +106,16 @@ def test_copies_count_once(spark):
     labels = labels.union(spark.createDataFrame([(d, 1, 1) for d, *_ in copies], labels.schema))
     model = toxicity.fit(docs, labels)
     assert "moron" in model.terms and not any(t.startswith("rare") for t in [*model.terms, *model.stems])
+
+
+def test_quotation_in_long_texts():
+    """Hits in quotation marks are told apart however many marks and hits a text has."""
+    finder = toxicity.Finder(toxicity.Model({"moron": 5.0}, {}, frozenset(), (0.0,) * 6))
+    quoted = "he said that they had once called him a \"moron\" in the street and then went on. "
+    plain = quoted.replace('"', "")
+    for n in (3, 150, 700):
+        x = finder.features(quoted * n)
+        assert round(x[1], 9) == round(x[4], 9) == round(math.log1p(n), 9)
+        assert finder.features(plain * n)[4] == 0
+    assert finder.features('"moron moron" ' * 300)[4] == 0
+    assert finder.features(quoted * 3)[0] == pytest.approx(3 * 5.0 * toxicity.QUOTED / 10)
