@@ -120,7 +120,7 @@ class Trie:
         found = (word, weight) if weight is not None else None
         for n in self.lengths:
             stem = word[:n]
-            if len(stem) == n and (w := self.stems.get(stem)) is not None and (found is None or w > found[1]):
+            if len(stem) == n and (w := self.stems.get(stem)) is not None and (found is None or w >= found[1]):
                 found = (stem, w)
         return found
 
@@ -182,7 +182,8 @@ class Finder:
         for word in words:
             found = self.trie.exact(word)
             if found is None and word not in self.clean and (near := self.trie.close(word)):
-                found = (near[0], self.trie.terms[near[0]] * (0.8 if near[1] == 1 else 0.6))
+                term, weight = self.trie.exact(near[0])
+                found = (term, weight * (0.8 if near[1] == 1 else 0.6))
             self.known[word] = found
             if found:
                 self.hits.add(word)
@@ -279,10 +280,11 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     terms = {t: w for s, _, t, w, _ in rated if not s}
     # A stem that only one word has says no more than the word.
     stems = {s: w for s, w in stems.items() if sum(t.startswith(s) for t in terms) != 1 or s in terms}
-    # A word that a stem stands for need not be in the trie: misspellings are sought of words of their own.
-    terms = {t: w for t, w in terms.items() if not any(t[:n] in stems for n in STEM_LENGTHS)}
-    strongest = sorted(terms.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS]
-    return dict(strongest), dict(sorted(stems.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS])
+    stems = dict(sorted(stems.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_TERMS])
+    # A word that a stem stands for has the stem's weight; misspellings are sought of it as of others, whose places it does not take.
+    inflected = {t: stems[t[:n]] for t in terms for n in STEM_LENGTHS if t[:n] in stems}
+    own = sorted((x for x in terms.items() if x[0] not in inflected), key=lambda x: (-x[1], x[0]))
+    return dict(own[:LEXICON_TERMS]) | inflected, stems
 
 
 def clean_words(train: DataFrame, terms: dict[str, float]) -> frozenset[str]:

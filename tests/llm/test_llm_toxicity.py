@@ -119,3 +119,16 @@ def test_quotation_in_long_texts():
         assert finder.features(plain * n)[4] == 0
     assert finder.features('"moron moron" ' * 300)[4] == 0
     assert finder.features(quoted * 3)[0] == pytest.approx(3 * 5.0 * toxicity.QUOTED / 10)
+
+
+def test_misspelled_beginnings_of_inflected_terms(spark):
+    """Terms that share a stem are sought with errors in the stem too."""
+    draw = random.Random(10)
+    plain = ["".join(draw.choice("abcdefghj") for _ in range(draw.randint(2, 7))) for _ in range(300)]
+    rows = [(i, " ".join([*(draw.choice(plain) for _ in range(30)), *(("zwquelt", "zwquelts") if i % 5 == 0 else ())])) for i in range(500)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id bigint, toxic int"))
+    assert model.stems and {"zwquelt", "zwquelts"} <= model.terms.keys()
+    finder = toxicity.Finder(model)
+    for word in ("zwquelt", "zwquelts", "zvquelt", "1wquelts", "wquelts"):
+        assert finder.features(f"abc def {word} ghi")[1] == math.log1p(1), word
+    assert finder.features("zwquelt zvquelts")[2] == math.log1p(1)
