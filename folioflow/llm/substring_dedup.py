@@ -1,9 +1,12 @@
-"""Substring deduplication by sliding spans of sentences.
-
-A text is cut into sentences; a very long one is cut further behind words chosen by their hash, so that the same
-passage is cut alike wherever it stands. Each sentence starts a span: the shortest run of at least ``span``
-sentences with at least ``min_words`` words. Spans are hashed (128 bits, case and white space aside) and joined over
-all documents; sentences covered by a span that stands in a document of a smaller id, or earlier in the same one,
+"""Substring deduplication by sliding spans of sentences and parts of sentences.
+
+A text is cut behind words: of every ``WINDOW`` words in a row, behind the one that ends a sentence or,
+among equals, has the smallest hash. So no piece is longer than that, and a passage is cut alike wherever it stands,
+up to ``WINDOW`` words from its edges, also if it begins and ends inside sentences. In scripts without spaces each
+letter is cut like a word and counts as half of one. Each piece starts a span: the shortest run of at least ``span``
+pieces with at least ``min_words`` words; the last such run of a text is one too. With the values below, any passage
+of 48 whole words or more has a span in common wherever it stands. Spans are hashed (128 bits, case and white space aside) and joined over
+all documents; pieces covered by a span that stands in a document of a smaller id, or earlier in the same one,
 are removed.
 
 Within a document repeats are found on the spot, so a document hands in each distinct span once, and only spans of
@@ -28,56 +31,117 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.common import kept, packed, rows_of, text_key
 
-SPAN = 3
+SPAN = 2
 MIN_WORDS = 15
-# A sentence of more words is cut behind words whose hash divides by CUT_EVERY.
-LONG_WORDS = 24
-CUT_EVERY = 8
+# One word of so many in a row, at least, has a cut behind it. A passage's first cut that is the same everywhere, the
+# words of a span and its end take 4 * WINDOW - 3 + MIN_WORDS words at most.
+WINDOW = 9
+WORDS_KEPT = 500_000
 NO_ID = -(1 << 63)
 
 BREAK = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
 WORD = re.compile(r"\S+\s*")
+# Thai, Lao, Burmese, Khmer, Japanese and Chinese are written without spaces.
+LETTERS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+UNSPACED = re.compile(f"[{LETTERS}]")
+UNIT = re.compile(f"[{LETTERS}][\u3001-\u3004\u3008-\u3030\uff01-\uff0f\uff1a-\uff1f]*\\s*|[^\\s{LETTERS}]+\\s*")
+
+
+class Keys(dict):
+    """Hashes of words, odd and of 63 bits; remembers words that it has met."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        self[word] = key = xxhash.xxh64_intdigest(word) >> 1 | 1
+        return key
+
+
+KEYS = Keys()
+
+
+def units_of(text: str) -> tuple[list[str], list[str]]:
+    """Words, or letters of scripts without spaces, with what stands behind them; and in lower case without."""
+    if UNSPACED.search(text):
+        units = UNIT.findall(text)
+        return units, [u.strip().lower() for u in units]
+    return WORD.findall(text), text.lower().split()
+
+
+def weights_of(words: list[str]) -> np.ndarray:
+    """Twice the words that each unit counts as."""
+    return np.fromiter((1 if UNSPACED.match(w) else 2 for w in words), np.int64, len(words))
+
+
+def over_window(values: np.ndarray, size: int, pick) -> np.ndarray:
+    """``pick`` (a minimum or maximum) of every ``size`` values in a row."""
+    reach = 1
+    while reach < size:
+        step = min(reach, size - reach)
+        values, reach = pick(values[:-step], values[step:]), reach + step
+    return values
+
+
+def least_of_windows(keys: np.ndarray) -> np.ndarray:
+    """True for each key that is the least of some WINDOW keys in a row."""
+    if len(keys) < WINDOW:
+        return np.zeros(len(keys), bool)
+    edge = np.zeros(WINDOW - 1, np.uint64)
+    return over_window(np.concatenate([edge, over_window(keys, WINDOW, np.minimum), edge]), WINDOW, np.maximum) == keys
+
+
+def cut_up(text: str | None) -> tuple[list[str], list[int], list[int]]:
+    """Units in lower case; per piece the number of units up to its end, and the place of its end in the text."""
+    text = text or ""
+    units, words = units_of(text)
+    if not units:
+        return [], [], []
+    ends = len(text) - len(text.lstrip()) + np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))
+    keys = np.fromiter(map(KEYS.__getitem__, words), np.uint64, len(words)) | np.uint64(1 << 63)
+    # A run of one word has equal keys: places are taken WINDOW apart from its start.
+    order = np.arange(len(keys))
+    started = np.concatenate([[True], keys[1:] != keys[:-1]])
+    taken = (order - np.maximum.accumulate(np.where(started, order, 0))) % WINDOW == 0
+    breaks = np.array([g.end() for g in BREAK.finditer(text)], np.int64)
+    keys[np.searchsorted(ends, breaks[breaks > ends[0] - len(units[0])])] &= np.uint64((1 << 63) - 1)
+    cut = least_of_windows(np.where(taken, keys, np.uint64((1 << 64) - 1))) & taken
+    cut[-1] = True
+    at = np.flatnonzero(cut)
+    return words, (at + 1).tolist(), ends[at].tolist()
 
 
 def sentences(text: str | None) -> list[str]:
     """Pieces that join to the text, white space behind each included."""
-    found, start = [], 0
-    text = text or ""
-    for gap in BREAK.finditer(text):
-        if gap.end() > start:
-            found.extend(clauses(text[start : gap.end()]))
-            start = gap.end()
-    if start < len(text):
-        found.extend(clauses(text[start:]))
-    return found
-
-
-def clauses(sentence: str) -> list[str]:
-    if len(sentence) < 2 * LONG_WORDS or len(sentence.split()) <= LONG_WORDS:
-        return [sentence]
-    found, held = [], []
-    for word in WORD.findall(sentence[len(sentence) - len(sentence.lstrip()) :]):
-        held.append(word)
-        if xxhash.xxh64_intdigest(word.strip().lower()) % CUT_EVERY == 0:
-            found.append("".join(held))
-            held = []
-    if held:
-        found.append("".join(held))
-    lead = sentence[: len(sentence) - len(sentence.lstrip())]
-    found[0] = lead + found[0]
-    return found
+    _, _, ends = cut_up(text)
+    if not ends:
+        return [text] if text else []
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def spans(parts: list[str], span: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first, end, hash) of the span that each sentence starts, as far as the text has one."""
-    plain = [b" ".join(p.lower().encode().split()) for p in parts]
-    counts = np.array([p.count(b" ") + 1 if p else 0 for p in plain], np.int64)
-    real = np.flatnonzero(counts)
-    said = [plain[i] for i in real.tolist()]
-    ends = np.concatenate([[0], np.cumsum(counts[real])])
-    needed = np.searchsorted(ends, ends[:-1] + min_words, "left")
-    needed = np.maximum(needed, np.arange(len(said)) + span)
-    return [(int(real[i]), int(real[e - 1]) + 1, xxhash.xxh3_128_digest(b"\n".join(said[i:e]))) for i, e in enumerate(needed.tolist()) if e <= len(said)]
+    """(first, end, hash) of the span that each piece starts, and of the last one, as far as the text has any."""
+    found = [units_of(p)[1] for p in parts]
+    real = [i for i, words in enumerate(found) if words]
+    ends = np.cumsum([len(found[i]) for i in real]).tolist()
+    return [(real[i], real[e - 1] + 1, hashed) for i, e, hashed in spans_of([w for words in found for w in words], ends, span, min_words)]
+
+
+def spans_of(words: list[str], ends: list[int], span: int, min_words: int) -> list[tuple[int, int, bytes]]:
+    """The same for pieces of so many words up to their ends."""
+    n = len(ends)
+    if n < span:
+        return []
+    said = [" ".join(words[a:b]).encode() for a, b in zip([0, *ends], ends)]
+    if any(map(UNSPACED.match, words)):
+        counted = np.concatenate([[0], np.cumsum(weights_of(words))])[[0, *ends]]
+    else:
+        counted = 2 * np.array([0, *ends], np.int64)
+    needed = np.maximum(np.searchsorted(counted, counted[:-1] + 2 * min_words, "left"), np.arange(n) + span)
+    runs = [(i, e) for i, e in enumerate(needed.tolist()) if e <= n]
+    if runs and runs[-1][1] < n:
+        runs.append((runs[-1][0], n))  # the last that starts a span goes to the end of the text too
+    whole, places = b" ".join(said), np.concatenate([[0], np.cumsum([len(x) + 1 for x in said])]).tolist()
+    return [(i, e, xxhash.xxh3_128_digest(whole[places[i] : places[e] - 1])) for i, e in runs]
 
 
 SPANS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("first", pa.int32()), ("end", pa.int32()), ("again", pa.bool_())])
@@ -93,9 +157,10 @@ def span_rows(span: int, min_words: int):
         def rows():
             for doc_id, key, text in rows_of(batches, "doc_id", "text_key", "text"):
                 seen: dict[bytes, int] = {}
-                for first, end, hashed in spans(sentences(text), span, min_words):
+                words, ends, _ = cut_up(text)
+                for first, end, hashed in spans_of(words, ends, span, min_words):
                     before = seen.setdefault(hashed, end)
-                    # A span that overlaps its own first occurrence is a run of equal sentences: it goes too.
+                    # A span that overlaps its own first occurrence is a run of equal pieces: it goes too.
                     again = before != end
                     yield (doc_id, key, *struct.unpack("<qq", hashed), first, end, again)
 

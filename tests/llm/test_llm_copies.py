@@ -163,3 +163,44 @@ def test_long_passage_in_unpunctuated_texts(docs):
     passage = words(120)
     got = substring_dedup.remove_repeats(docs((1, f"{words(37)} {passage} {words(20)}"), (2, f"{words(90)} {passage} {words(31)}"))).orderBy("doc_id").collect()
     assert got[0].n_removed == 0 and got[1].n_removed > 0 and got[1].first_doc_ids == [1]
+
+
+@pytest.mark.parametrize("lengths", [[51], [15, 15, 15, 15], [18, 18, 18], [24, 30], [20, 20, 20]])
+def test_passages_of_over_fifty_words_share_a_span(lengths):
+    """Glued to other words inside sentences at both ends, and as paragraphs of their own."""
+    draw = random.Random(12)
+
+    def words(n):
+        return ["".join(draw.choice("abcdefghijk") for _ in range(draw.randint(2, 8))) for _ in range(n)]
+
+    def hashes(text):
+        return {h for _, _, h in substring_dedup.spans(substring_dedup.sentences(text), substring_dedup.SPAN, substring_dedup.MIN_WORDS)}
+
+    for _ in range(300):
+        passage = ". ".join(" ".join(words(n)) for n in lengths)
+        around = [" ".join(words(draw.randint(3, 40))) for _ in range(4)]
+        assert hashes(f"{around[0]}{passage}{around[1]}") & hashes(f"{around[2]}{passage}{around[3]}")
+        assert hashes(f"{around[0]}.\n\n{passage}.\n\n{around[1]}") & hashes(f"{around[2]}\n{passage}.\n{around[3]}")
+
+
+def test_passages_without_spaces(docs):
+    draw = random.Random(13)
+
+    def letters(n):
+        return "".join(chr(draw.randrange(0x4E00, 0x9000)) + ("，" if draw.random() < 0.1 else "") for _ in range(n))
+
+    passage = letters(110)
+    got = substring_dedup.remove_repeats(docs((1, f"{letters(37)}{passage}{letters(20)}。"), (2, f"{letters(90)}{passage}{letters(31)}"))).orderBy("doc_id").collect()
+    assert got[0].n_removed == 0 and got[1].first_doc_ids == [1]
+    assert len(got[1].text) < 90 * 1.3 + 31 * 1.3 + 50
+
+
+def test_a_passage_inside_sentences_is_removed(docs):
+    draw = random.Random(14)
+
+    def words(n):
+        return " ".join("".join(draw.choice("abcdefghijk") for _ in range(6)) for _ in range(n))
+
+    passage = words(51)
+    got = substring_dedup.remove_repeats(docs((1, f"{words(9)}{passage}{words(9)}."), (2, f"{words(15)}. {words(5)}{passage}{words(3)}. {words(12)}."))).orderBy("doc_id").collect()
+    assert got[0].n_removed == 0 and got[1].n_removed > 0 and got[1].first_doc_ids == [1]
