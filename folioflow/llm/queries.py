@@ -36,7 +36,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_token_files")
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written as Simple-8b blocks and read back."""
-    return token_files.digest(table(spark, sf_dir, "documents"), WORD_BPE)
+    return token_files.digest(table(spark, sf_dir, "documents"), WORD_BPE, special=True)
 
 
 @query("op3_line_dedup", line_dedup.ORACLE)

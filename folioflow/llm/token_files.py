@@ -115,19 +115,22 @@ class Tokens:
     """Ids of texts by a tokenizer that looks at words apart; each distinct word is given to the library once.
 
     The tokenizer lower-cases and drops white space, and none of its words reaches over white space. So a text can be
-    cut at spaces, and the signs between a letter and white space be cut off, without changing any id.
+    cut at spaces, and the signs between a letter and white space be cut off, without changing any id. A text that may
+    hold the literal of an added token, in any case, goes to the library whole; ``special`` maps it to the token's id,
+    as the library does when it is loaded, and else it is text.
     """
 
     LOWER = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
     SIGNS = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?= )")
     BETWEEN = b"\x00"
 
-    def __init__(self, path: str, kept_pieces: int = PIECES_KEPT):
+    def __init__(self, path: str, kept_pieces: int = PIECES_KEPT, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
+        self.literals = [t.content.encode().translate(self.LOWER) for t in self.library.get_added_tokens_decoder().values()]
         self.mark = self.library.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
         self.limit = kept_pieces
@@ -153,7 +156,9 @@ class Tokens:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.SIGNS.sub(rb" \1", (t or "").encode().translate(self.LOWER) + b" ").split() for t in texts]
+        lowered = [(t or "").encode().translate(self.LOWER) for t in texts]
+        special = {i for i, t in enumerate(lowered) if any(x in t for x in self.literals)}
+        cut = [[] if i in special else self.SIGNS.sub(rb" \1", t + b" ").split() for i, t in enumerate(lowered)]
         known = self.known
         new = list({p for pieces in cut for p in pieces if p not in known})
         if len(known) + len(new) > self.limit and len(known) > len(new):
@@ -161,16 +166,17 @@ class Tokens:
             new = list({p for pieces in cut for p in pieces})
         if new:
             self.learn(new)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        whole = {i: np.array(self.library.encode(texts[i], add_special_tokens=False).ids, np.uint32).tobytes() for i in special}
+        return [whole[i] if i in special else b"".join(map(known.__getitem__, pieces)) for i, pieces in enumerate(cut)]
 
 
 BLOCKS = pa.schema([("range_no", pa.int32()), ("block_no", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int32())), ("offsets", pa.binary()), ("words", pa.binary()), ("escapes", pa.binary())])
 BLOCKS_DDL = "range_no int, block_no int, start bigint, n_ids int, doc_ids array<bigint>, doc_ends array<int>, offsets binary, words binary, escapes binary"
 
 
-def write_blocks(path: str, end_id: int):
+def write_blocks(path: str, end_id: int, special: bool = False):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        range_no, tokens = TaskContext.get().partitionId(), Tokens(path)
+        range_no, tokens = TaskContext.get().partitionId(), Tokens(path, special=special)
         end = np.array([end_id], np.uint32).tobytes()
 
         def texts() -> Iterator[tuple]:
@@ -208,13 +214,13 @@ def block(range_no: int, no: int, start: int, docs: list, ends: list[int], held:
     return range_no, no, start, ends[-1], docs, ends, offsets, words, escapes
 
 
-def write(df: DataFrame, tokenizer: str, to: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> None:
+def write(df: DataFrame, tokenizer: str, to: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", special: bool = False) -> None:
     """Writes the ids of every row of ``df``, in ascending doc_id order, to the folder ``to``."""
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), text_key(text).alias("key"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranged = docs.repartitionByRange(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // RANGE_BYTES)), "doc_id", "key")
     ordered = ranged.sortWithinPartitions("doc_id", "key").select("doc_id", "text")
-    ordered.mapInArrow(write_blocks(tokenizer, end_id), BLOCKS_DDL).write.option("compression", "uncompressed").parquet(to)
+    ordered.mapInArrow(write_blocks(tokenizer, end_id, special), BLOCKS_DDL).write.option("compression", "uncompressed").parquet(to)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -252,10 +258,10 @@ def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 DIGEST = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
-def digest(df: DataFrame, tokenizer: str) -> DataFrame:
+def digest(df: DataFrame, tokenizer: str, special: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files that are written first."""
     path = scratch_path(df.sparkSession, "tokens")
-    write(df, tokenizer, path)
+    write(df, tokenizer, path, special=special)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from packed(((d, s, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for d, s, ids in documents(batches)), DIGEST)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioflow.llm import byte_bpe, token_files
-from folioflow.llm.queries import BYTE_RANKS, WORD_BPE
+from folioflow.llm.queries import BYTE_RANKS, QUERIES, WORD_BPE
 
 SIGNS = [" ", "  ", "\n", "\t", "a", "B", "é", "É", "ß", "1", "23", "'s", "'LL", ".", ",", "...", "|", "—", "中", "\x1c", "\x85", "\u2003", "😀", "Th", "the", "ing", "\r\n", "_", "\x00", "e\u0301", "<|endoftext|>", "İ", "Σ"]
 
@@ -104,3 +104,20 @@ def test_token_files(spark, docs, odd_rows, tmp_path):
     token_files.write(docs(*rows), WORD_BPE, path)
     assert token_files.read_ids(spark, path).filter("doc_id = 3").first().ids == own.encode("a b c", add_special_tokens=False).ids + [1]
     assert token_files.digest(docs((1, "x")).limit(0), WORD_BPE).count() == 0
+
+
+def test_special_tokens_as_the_library_is_loaded():
+    """Against the untouched library; literals glued, in other cases, and beside signs."""
+    own, tokens, draw = Tokenizer.from_file(WORD_BPE), token_files.Tokens(WORD_BPE, kept_pieces=500, special=True), random.Random(15)
+    signs = [*SIGNS, "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "<|"]
+    texts = ["hello <|endoftext|> world", "a<|endoftext|><|startoftext|>b.", *("".join(draw.choice(signs) for _ in range(draw.randint(0, 25))) for _ in range(1500))]
+    got = [np.frombuffer(x, np.uint32).tolist() for at in range(0, len(texts), 300) for x in tokens.encode(texts[at : at + 300])]
+    assert got == [own.encode(t, add_special_tokens=False).ids for t in texts] and got[0] == [3306, 49407, 1002]
+
+
+def test_op2_maps_special_tokens(spark, docs, tmp_path):
+    own = Tokenizer.from_file(WORD_BPE)
+    docs((1, "hello <|endoftext|> world")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op2_token_files"](spark, str(tmp_path)).first()
+    ids = own.encode("hello <|endoftext|> world", add_special_tokens=False).ids + [1]
+    assert (got.n_tokens, got.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
