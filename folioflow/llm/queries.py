@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import byte_bpe, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_files, toxicity, url_filter
+from folioflow.llm import byte_bpe, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_alignment, token_files, toxicity, url_filter
 from folioflow.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -85,3 +87,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document, and the corpus-wide counts of their id pairs."""
+    return token_alignment.digest(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE, public_tokenizers.PATTERN)
