@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import byte_bpe, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_alignment, token_files, toxicity, url_filter
+from folioflow.llm import byte_bpe, centroid_clustering, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_alignment, token_files, toxicity, url_filter
 from folioflow.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -93,3 +93,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two tokenizers in every document, and the corpus-wide counts of their id pairs."""
     return token_alignment.digest(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE, public_tokenizers.PATTERN)
+
+
+@query("op12_centroid_clustering", centroid_clustering.oracle())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds around sixteen centroids, in integers."""
+    return centroid_clustering.digest(table(spark, sf_dir, "embeddings"))
