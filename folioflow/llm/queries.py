@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import byte_bpe, centroid_clustering, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_alignment, token_files, toxicity, url_filter
+from folioflow.llm import byte_bpe, centroid_clustering, chat_format, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, token_alignment, token_files, toxicity, url_filter, warc
 from folioflow.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -99,3 +99,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after three rounds around sixteen centroids, in integers."""
     return centroid_clustering.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_warc", warc.ORACLE)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, read back from an archive that stores each payload once."""
+    return warc.digest(table(spark, sf_dir, "pages"))
