@@ -16,6 +16,7 @@ from folioflow.functions import json as fj
 from folioflow.functions import text as ft
 from folioflow.functions import vectors as fv
 from folioflow.functions.binary import b64_decode, b64_decode_text, b64_encode
+from folioflow.operators import cells as ce
 from folioflow.operators import chunks as oc
 from folioflow.operators import embed as oe
 from folioflow.operators import evaluate as ov
@@ -699,6 +700,68 @@ def knn_lsh(spark, sf):
     return hits.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+def floored(total: str, n: str) -> str:
+    """Integer division that rounds down."""
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+def cells_sql(cells: int, codes: int, run: int, rounds: int, scale: int, probes: int, shortlist: int, dim: int = 64, k: int = 5) -> str:
+    """The trained index as relations: integers, centroids round by round, codebooks, codes, estimates, exact ranks."""
+    steps = [f"""v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings)
+, xs AS MATERIALIZED (SELECT vec_id, d, greatest(-65536, least(65536, floor({scale} * e[d + 1])))::BIGINT AS x FROM v, range({dim}) t(d))
+, seq AS (SELECT vec_id, row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS n FROM v)
+, c0 AS MATERIALIZED (SELECT n AS c, d, x AS w FROM seq JOIN xs USING (vec_id) WHERE n < {cells})"""]
+
+    def near(rows: str, centres: str, by: str, number: str, size: int, at: str) -> str:
+        far = f"SELECT {by}, {number}, sum((x - w) * (x - w))::BIGINT AS f FROM {rows} JOIN {centres} USING ({at}) GROUP BY ALL"
+        return f"AS MATERIALIZED (SELECT {by}, min(f * {size} + {number}) % {size} AS {number} FROM ({far}) GROUP BY {by})"
+
+    for i in range(rounds + 1):
+        steps.append(f"a{i} {near('xs', f'c{i}', 'vec_id', 'c', cells, 'd')}")
+        if i < rounds:
+            steps.append(f"m{i} AS (SELECT c, d, sum(x)::BIGINT AS s, count(*) AS n FROM a{i} JOIN xs USING (vec_id) GROUP BY ALL)")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c, d, {floored('s', 'n')} AS w FROM m{i} UNION ALL SELECT c, d, w FROM c{i} WHERE c NOT IN (SELECT c FROM m{i}))")
+    steps.append(f"""rest AS MATERIALIZED (SELECT vec_id, d // {run} AS p, d, x - w AS x FROM xs JOIN a{rounds} USING (vec_id) JOIN c{rounds} USING (c, d))
+, b0 AS MATERIALIZED (SELECT p, n AS k, d, x AS w FROM rest JOIN seq USING (vec_id) WHERE n < {codes})""")
+    for i in range(rounds + 1):
+        steps.append(f"e{i} {near('rest', f'b{i}', 'vec_id, p', 'k', codes, 'p, d')}")
+        if i < rounds:
+            steps.append(f"g{i} AS (SELECT p, k, d, sum(x)::BIGINT AS s, count(*) AS n FROM e{i} JOIN rest USING (vec_id, p) GROUP BY ALL)")
+            steps.append(f"b{i + 1} AS MATERIALIZED (SELECT p, k, d, {floored('s', 'n')} AS w FROM g{i} UNION ALL SELECT p, k, d, w FROM b{i} WHERE (p, k) NOT IN (SELECT p, k FROM g{i}))")
+    steps.append(f"""far AS (SELECT vec_id AS qid, c, sum((x - w) * (x - w)) AS f FROM xs JOIN c{rounds} USING (d) GROUP BY ALL)
+, probed AS (SELECT qid, c FROM far QUALIFY row_number() OVER (PARTITION BY qid ORDER BY f, c) <= {probes})
+, tables AS (SELECT qid, c, p, k, sum((x - m.w - b.w) * (x - m.w - b.w)) AS f
+    FROM probed JOIN xs ON vec_id = qid JOIN c{rounds} m USING (c, d) JOIN b{rounds} b USING (d) GROUP BY ALL)
+, chunks AS (SELECT vec_id AS cid, c, p, k FROM a{rounds} JOIN e{rounds} USING (vec_id))
+, estimates AS (SELECT qid, cid, sum(f) AS f FROM tables JOIN chunks USING (c, p, k) WHERE qid <> cid GROUP BY ALL)
+, short AS (SELECT qid, cid FROM estimates QUALIFY row_number() OVER (PARTITION BY qid ORDER BY f, cid) <= {shortlist})
+, ranked AS (SELECT qid, cid, round(list_distance(a.e, b.e), 6) AS dist FROM short JOIN v a ON a.vec_id = qid JOIN v b ON b.vec_id = cid)
+SELECT * FROM (SELECT qid, cid, row_number() OVER (PARTITION BY qid ORDER BY dist, cid) AS rank, dist FROM ranked) WHERE rank <= {k}""")
+    return "WITH " + "\n, ".join(steps)
+
+
+# Small and fixed, so that SQL can follow; a user leaves these to the index.
+CELL_SETTINGS = {"cells": 16, "codes": 8, "run": 8, "rounds": 3, "scale": 4096, "probes": 8, "shortlist": 60}
+
+
+def _knn_cells(spark, sf, **options):
+    vec = fx.vectors(spark, sf)
+    hits = ce.build_index(vec, dim=64, **CELL_SETTINGS).search(vec, 5, "id", other_only=True, **options)
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query(cells_sql(**CELL_SETTINGS))
+def knn_cells(spark, sf):
+    """Approximate neighbours by trained cells and codes."""
+    return _knn_cells(spark, sf)
+
+
+@query(ORACLE["knn_cells"])
+def knn_cells_large(spark, sf):
+    """The same through the path for query sets too large to broadcast."""
+    return _knn_cells(spark, sf, broadcast_bytes=0, block_rows=64)
+
+
 def _page_vectors(spark, sf):
     return oe.embed_text(fx.keyed_pages(spark, sf).withColumn("id", st.chunk_id()), text="page_text")
 
