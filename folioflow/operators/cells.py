@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.operators.search import BLOCK_ROWS, BROADCAST_BYTES, DIGITS, _hit_schema, _ids, _knn_broadcast, _matrix, _pick, _settled, _take_best
 from folioflow.functions.rounding import round_half_up
+from folioflow.operators.blocks import meet_in_blocks
+from folioflow.operators.search import BLOCK_ROWS, BROADCAST_BYTES, DIGITS, _hit_schema, _ids, _knn_broadcast, _matrix, _pick, _settled, _take_best
 from folioflow.session import scratch_path, written
 
 # Vectors that centroids and codebooks are trained on: those of smallest id hash.
@@ -254,17 +255,6 @@ class CellIndex:
             return pa.array(list(coder.probes(coder.ints(_matrix(vectors, dim)), probes).astype(np.int32)), type=pa.list_(pa.int32()))
 
         travelling = written(asked.withColumn("cell", F.explode(probed("vec"))), "probes")
-        # One row a cell, MAX_CELLS at most.
-        sizes = self.table.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("chunk_parts"))
-        sizes = F.broadcast(sizes.join(travelling.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("query_parts")), "cell"))
-
-        def dealt(rows: DataFrame, id_col: str, own: str, others: str) -> DataFrame:
-            part = F.pmod(F.xxhash64(id_col, "vec"), F.col(f"{own}s")).cast("int")
-            return rows.join(sizes, "cell").withColumn(own, part).withColumn(others, F.explode(F.sequence(F.lit(0), F.col(f"{others}s") - 1)))
-
-        block = ["cell", "query_part", "chunk_part"]
-        queries = dealt(travelling, "qid", "query_part", "chunk_part").select(*block, "qid", "vec")
-        chunks = dealt(self.table, "cid", "chunk_part", "query_part").select(*block, "cid", "vec", "codes")
 
         def meet(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
@@ -278,7 +268,7 @@ class CellIndex:
                 _offer(best, who, coder.estimates(x[who], cell, codes), ids, chunk_ids, chunks, other_only)
             return best.result(ids, arrow)
 
-        return queries.groupBy(*block).cogroup(chunks.groupBy(*block)).applyInArrow(meet, schema)
+        return meet_in_blocks(travelling, self.table, block_rows, meet, schema)
 
 
 def _offer(best: Shortest, who: np.ndarray, estimates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, chunks: np.ndarray, other_only: bool) -> None:

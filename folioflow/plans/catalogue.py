@@ -678,6 +678,15 @@ def knn_second_vector(spark, sf):
 
 @query(ORACLE["knn_l2"])
 def knn_by_pivots(spark, sf):
+    """The same through pivot cells and the triangle inequality."""
+    vec = fx.vectors(spark, sf)
+    asked, stored = written(vec.select(F.col("id").alias("qid"), F.col("text_embedding").alias("vec")), "asked"), vec.select(F.col("id").alias("cid"), F.col("text_embedding").alias("vec"))
+    hits = ks.knn_by_pivots(asked, written(stored, "stored"), 5, 64, True, 256, 4)
+    return hits.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query(ORACLE["knn_l2"])
+def knn_by_bounds(spark, sf):
     """The same through the path for query sets too large to broadcast."""
     return _knn(spark, sf, broadcast_bytes=0, block_rows=256)
 
