@@ -6,8 +6,8 @@ it divides among 1 to 60 ids of equal width. An id of over 60 bits is an escape:
 points into the block's list of escaped ids. Every ``STRIDE`` words the block notes how many ids come before, so that
 a reader can start in the middle; decoding expands all words of one selector at a time.
 
-Blocks are numbered by range, and a range's first id position follows from the sizes of those before it, one row a
-range. Null and empty texts have the end id only. Documents of one id follow each other by their text; repeated rows
+Ranges are cut by bytes, not rows, and through runs of equal rows. Blocks are numbered by range, and a range's first
+id position follows from the sizes of those before it, one row a range. Null and empty texts have the end id only. Documents of one id follow each other by their text; repeated rows
 are kept. A document longer than a block is a block of its own. An empty table gives an empty data set.
 """
 
@@ -16,12 +16,13 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import packed, rows_of, scratch_path, text_key
@@ -36,6 +37,10 @@ END_ID = 1
 # Text of one range; a range is tokenised by one task, which remembers the words that it has met.
 RANGE_BYTES = 112 << 20
 PIECES_KEPT = 850_000
+ROW_BYTES = 16
+# Rows sampled for a range's bounds, and in all: 32 MB on the driver.
+SAMPLED = 400
+MOST_SAMPLED = 1_000_000
 
 
 def bit_widths(ids: np.ndarray) -> np.ndarray:
@@ -121,7 +126,7 @@ class Tokens:
     """
 
     LOWER = bytes(32 if b in (9, 10, 11, 12, 13) else b + 32 if 65 <= b <= 90 else b for b in range(256))
-    SIGNS = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?= )")
+    SIGNS = re.compile(rb"(?<=[a-z])[!-/:-@\[-`{-~]+\Z")
     BETWEEN = b"\x00"
 
     def __init__(self, path: str, kept_pieces: int = PIECES_KEPT, special: bool = False):
@@ -133,16 +138,35 @@ class Tokens:
         self.literals = [t.content.encode().translate(self.LOWER) for t in self.library.get_added_tokens_decoder().values()]
         self.mark = self.library.encode(self.BETWEEN.decode(), add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
+        self.signed: list[bytes] = []
         self.limit = kept_pieces
 
+    def meet(self, pieces: set[bytes]) -> None:
+        """Knows the ids of all ``pieces`` from here on; those with signs behind a letter are put together of two."""
+        known = self.known
+        if len(known) + len(pieces) > self.limit:
+            for piece in self.signed:
+                del known[piece]
+            self.signed = []
+            if len(known) + len(pieces) > self.limit:
+                known.clear()
+        new = pieces.difference(known)
+        cut = [(p, m.start()) for p, m in zip(new, map(self.SIGNS.search, new)) if m]
+        new.difference_update(p for p, _ in cut)
+        new.update(part for p, at in cut for part in (p[:at], p[at:]) if part not in known)
+        if new:
+            self.learn(list(new))
+        for piece, at in cut:
+            known[piece] = known[piece[:at]] + known[piece[at:]]
+            self.signed.append(piece)
+
     def learn(self, pieces: list[bytes]) -> None:
-        if len(self.known) > self.limit:
-            self.known.clear()
         odd = [p for p in pieces if self.BETWEEN in p or len(p) > 256]
         plain = [p for p in pieces if not (self.BETWEEN in p or len(p) > 256)] if odd else pieces
         for at in range(0, len(plain), 2000):
             some = plain[at : at + 2000]
-            ids = np.array(self.library.encode((b" " + self.BETWEEN + b" ").join(some).decode(), add_special_tokens=False).ids, np.uint32)
+            said = (b" " + self.BETWEEN + b" ").join(some).decode()
+            ids = np.array(self.library.encode_batch_fast([said], add_special_tokens=False)[0].ids, np.uint32)
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(self.mark) != 1 or len(cuts) != len(some) - 1:
                 odd = odd + some
@@ -158,14 +182,9 @@ class Tokens:
         """Little-endian 32-bit ids of each text."""
         lowered = [(t or "").encode().translate(self.LOWER) for t in texts]
         special = {i for i, t in enumerate(lowered) if any(x in t for x in self.literals)}
-        cut = [[] if i in special else self.SIGNS.sub(rb" \1", t + b" ").split() for i, t in enumerate(lowered)]
+        cut = [[] if i in special else t.split() for i, t in enumerate(lowered)]
+        self.meet(set().union(*cut))
         known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        if len(known) + len(new) > self.limit and len(known) > len(new):
-            known.clear()
-            new = list({p for pieces in cut for p in pieces})
-        if new:
-            self.learn(new)
         whole = {i: np.array(self.library.encode(texts[i], add_special_tokens=False).ids, np.uint32).tobytes() for i in special}
         return [whole[i] if i in special else b"".join(map(known.__getitem__, pieces)) for i, pieces in enumerate(cut)]
 
@@ -214,12 +233,44 @@ def block(range_no: int, no: int, start: int, docs: list, ends: list[int], held:
     return range_no, no, start, ends[-1], docs, ends, offsets, words, escapes
 
 
-def write(df: DataFrame, tokenizer: str, to: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", special: bool = False) -> None:
+def range_numbers(rows: DataFrame, total: int, n: int, sample: int) -> Column:
+    """Which of ``n`` ranges of (doc_id, key, salt) a row lies in; ranges hold about as many bytes each.
+
+    Some ``sample`` rows are drawn, the larger the likelier, and cut into parts of equal bytes. The salt splits a run of
+    equal rows.
+    """
+    step = max(total, 1) / sample
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", "key", "salt"), F.lit(1 << 40)) < F.col("size") / step * float(1 << 40))
+    ids, *rest = (c.to_pylist() for c in drawn.select("doc_id", "key", "salt", "size").toArrow().columns)
+    order = sorted(zip((d is not None for d in ids), (d or 0 for d in ids), *rest))
+    # A row smaller than a step stands for a step, a larger one for itself.
+    ends = np.cumsum([max(row[-1], step) for row in order])
+    bounds = [order[i][:-1] for i in np.searchsorted(ends, ends[-1] / n * np.arange(1, n))] if order else []
+    shared = rows.sparkSession.sparkContext.broadcast((sum(not b[0] for b in bounds), np.array([b[1] for b in bounds], np.int64), bounds))
+
+    @F.arrow_udf("int")
+    def number(doc_id: pa.Array, key: pa.Array, salt: pa.Array) -> pa.Array:
+        n_null, ids, bounds = shared.value
+        known, doc = doc_id.is_valid().to_numpy(zero_copy_only=False), doc_id.fill_null(0).to_numpy(zero_copy_only=False)
+        low = np.where(known, n_null + np.searchsorted(ids[n_null:], doc, "left"), 0)
+        high = np.where(known, n_null + np.searchsorted(ids[n_null:], doc, "right"), n_null)
+        key, salt = key.to_numpy(zero_copy_only=False), salt.to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(low < high):
+            low[i] = bisect_right(bounds, (bool(known[i]), int(doc[i]), int(key[i]), int(salt[i])), int(low[i]), int(high[i]))
+        return pa.array(low.astype(np.int32))
+
+    return number("doc_id", "key", "salt")
+
+
+def write(df: DataFrame, tokenizer: str, to: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", special: bool = False, range_bytes: int = RANGE_BYTES) -> None:
     """Writes the ids of every row of ``df``, in ascending doc_id order, to the folder ``to``."""
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), text_key(text).alias("key"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranged = docs.repartitionByRange(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // RANGE_BYTES)), "doc_id", "key")
-    ordered = ranged.sortWithinPartitions("doc_id", "key").select("doc_id", "text")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // range_bytes))
+    # A row weighs at least what its place in a block takes.
+    weighed = docs.withColumns({"size": F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES, "salt": F.monotonically_increasing_id()})
+    ranged = weighed.withColumn("range", range_numbers(weighed, total, n, min(SAMPLED * n, MOST_SAMPLED)))
+    ordered = ranged.select("range", "doc_id", "key", "text").repartitionById(n, "range").sortWithinPartitions("doc_id", "key").select("doc_id", "text")
     ordered.mapInArrow(write_blocks(tokenizer, end_id, special), BLOCKS_DDL).write.option("compression", "uncompressed").parquet(to)
 
 

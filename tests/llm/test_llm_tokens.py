@@ -121,3 +121,19 @@ def test_op2_maps_special_tokens(spark, docs, tmp_path):
     got = QUERIES["op2_token_files"](spark, str(tmp_path)).first()
     ids = own.encode("hello <|endoftext|> world", add_special_tokens=False).ids + [1]
     assert (got.n_tokens, got.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_ranges_are_even_in_bytes(spark, docs, tmp_path):
+    """A run of very long texts, and one id and text on a third of the rows, spread over tasks; the order stays."""
+    draw = random.Random(16)
+    long = [(1000 + i, "long text " * 3000 + str(i)) for i in range(60)]
+    short = [(i, " ".join(draw.choice("abcdefgh") * 3 for _ in range(40))) for i in range(900)]
+    hot = [(None, "the same words again " * 30)] * 2000
+    rows = short + hot + long
+    path = str(tmp_path / "even")
+    token_files.write(docs(*rows).repartition(5), WORD_BPE, path, range_bytes=100_000)
+    blocks = token_files.read_blocks(spark, path)
+    sizes = [r.n for r in blocks.groupBy("range_no").agg(F.sum("n_ids").alias("n")).collect()]
+    assert len(sizes) > 20 and max(sizes) < 4 * sum(sizes) / len(sizes)
+    ids = token_files.read_ids(spark, path).orderBy("start").select("doc_id").collect()
+    assert [r.doc_id for r in ids] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d))
