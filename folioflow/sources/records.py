@@ -5,46 +5,20 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow.schemas import CHUNK_KEY, EVALUATION, PAGE_RECORD, STORE
+from folioflow.sources.ledger import Ledger
 
 CORRUPT = "_corrupt_record"
-# Ledgers are kept in folders by hash of the file's name; a batch looks into those of its files only.
-LEDGER_BUCKETS = 16
 KEY_FIELDS = [field for field in PAGE_RECORD.fields if field.name in CHUNK_KEY]
 KEYS = T.StructType([*KEY_FIELDS, T.StructField("object_name", T.StringType())])
 QUARANTINE = "stage string, status string, error string, body string, at timestamp"
 FILES = T.StructType([T.StructField("source_file", T.StringType())])
 
 
-def ledger_bucket(source_file: str = "source_file") -> Column:
-    return F.pmod(F.xxhash64(source_file), F.lit(LEDGER_BUCKETS)).cast("int")
-
-
-def _append_ledger(rows: DataFrame, schema: T.StructType, folder: str) -> None:
-    named = rows.select(*[field.name for field in schema.fields], ledger_bucket().alias("bucket_no"))
-    named.repartition("bucket_no").write.mode("append").partitionBy("bucket_no").parquet(folder)
-
-
-def _read_ledger(spark: SparkSession, folder: str, schema: T.StructType, files: DataFrame | None) -> DataFrame:
-    """All entries, or those in the folders that the ``source_file`` of ``files`` point to."""
-    parted = T.StructType([*schema.fields, T.StructField("bucket_no", T.IntegerType())])
-    found = _read_or_empty(spark, folder, parted, "parquet")
-    if files is not None:
-        wanted = [row[0] for row in files.select(ledger_bucket()).distinct().collect()]  # LEDGER_BUCKETS numbers at most
-        found = found.filter(F.col("bucket_no").isin(wanted))
-    return found.drop("bucket_no")
-
-
-def compact_ledger(spark: SparkSession, folder: str, to: str) -> None:
-    """The ledger's entries, each once and a file a bucket, in a new folder."""
-    schema = spark.read.parquet(folder).drop("bucket_no").schema
-    _append_ledger(_read_or_empty(spark, folder, schema, "parquet").distinct(), schema, to)
-
-
 def _read_or_empty(spark: SparkSession, folder: str, schema: T.StructType | str, kind: str) -> DataFrame:
     try:
         return spark.read.schema(schema).format(kind).load(folder)
@@ -69,20 +43,21 @@ def write_page_records(pages: DataFrame, folder: str) -> None:
 
 def write_page_keys(pages: DataFrame, folder: str) -> None:
     """The narrow ledger of finished pages, so that a skip check never parses page bodies."""
-    _append_ledger(pages, KEYS, folder)
+    Ledger(pages.sparkSession, folder, KEYS).append(pages)
 
 
 def read_page_keys(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
-    return _read_ledger(spark, folder, KEYS, files)
+    """All entries, or those of the ledger's files that may hold a ``source_file`` of ``files``."""
+    return Ledger(spark, folder, KEYS).read(files)
 
 
 def write_done_files(files: DataFrame, folder: str) -> None:
     """The ledger of files of which every page is done, so that a repeat need not even be opened."""
-    _append_ledger(files, FILES, folder)
+    Ledger(files.sparkSession, folder, FILES).append(files)
 
 
 def read_done_files(spark: SparkSession, folder: str, files: DataFrame | None = None) -> DataFrame:
-    return _read_ledger(spark, folder, FILES, files)
+    return Ledger(spark, folder, FILES).read(files)
 
 
 def append_store(rows: DataFrame, folder: str, load: str | None = None) -> None:
