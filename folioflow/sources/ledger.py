@@ -15,6 +15,7 @@ import math
 import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ KEY_HASHES = 7
 RUNS_A_TIER = 8
 # Batches with more keys than that read the whole ledger.
 MOST_KEYS = 200_000
+# Files that a merge leaves the index in.
+INDEX_TASKS = 4
 
 ENTRY = pa.schema([("run", pa.string()), ("file", pa.string()), ("lower", pa.string()), ("upper", pa.string()), ("n", pa.int64()), ("bits", pa.binary())])
 ENTRY_DDL = "run string, file string, lower string, upper string, n bigint, bits binary"
@@ -61,6 +64,13 @@ def may_have(bits: bytes, hashes: np.ndarray) -> np.ndarray:
     return ((known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
 
 
+def _by_file(batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Slices of a batch that come from one file each."""
+    ends = pc.run_end_encode(batch.column("file")).run_ends.to_pylist() if batch.num_rows else []
+    for first, end in zip([0, *ends], ends):
+        yield batch.column("file")[first].as_py(), batch.slice(first, end - first)
+
+
 class Ledger:
     """Rows of ``schema`` below a folder, found by the string column ``key``."""
 
@@ -91,20 +101,25 @@ class Ledger:
         ordered = rows.select(*names).repartitionByRange(*names).sortWithinPartitions(*names)
         ordered.write.option("maxRecordsPerFile", self.rows_a_file).parquet(path)
 
-        def describe(part: pa.Table) -> pa.Table:
-            ends = pc.min_max(part["key"]).as_py()
-            return pa.table([[run], part["file"][:1], [ends["min"]], [ends["max"]], [len(part)], [bloom_filter(part["hash"].to_numpy())]], schema=ENTRY)
+        def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for file, parts in groupby((part for batch in batches for part in _by_file(batch)), lambda part: part[0]):
+                table = pa.Table.from_batches([part for _, part in parts])  # rows_a_file rows at most
+                ends = pc.min_max(table["key"]).as_py()
+                row = run, file, ends["min"], ends["max"], len(table), bloom_filter(table["hash"].to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, ENTRY)], schema=ENTRY)
 
-        # A file has rows_a_file rows at most, so a group has.
         written = self.spark.read.schema(self.schema).parquet(path)
         keys = written.select(F.col("_metadata.file_path").alias("file"), F.col(key).alias("key"), F.xxhash64(key).alias("hash"))
-        return keys.groupBy("file").applyInArrow(describe, ENTRY_DDL)
+        return keys.mapInArrow(describe, ENTRY_DDL)
 
     def append(self, rows: DataFrame) -> None:
         """Add rows; they can be read when this returns."""
         entries = self._write_run(rows)
-        entries.write.mode("append").parquet(f"{self.folder}/index/{self._generation() or 0}")
-        self.merge()
+        index = f"index/{self._generation() or 0}"
+        entries.write.mode("append").parquet(f"{self.folder}/{index}")
+        # An append adds a file to the index at least: with fewer there are not too many runs.
+        if sum(name.endswith(".parquet") for name in self._names(index)) > RUNS_A_TIER:
+            self.merge()
 
     def runs(self) -> dict[str, int]:
         """Runs and their rows; there are few."""
@@ -121,7 +136,7 @@ class Ledger:
         index, at = self.index(), self._generation()
         files = [r.file for r in index.filter(F.col("run").isin(old)).select("file").collect()]
         entries = self._write_run(self.spark.read.schema(self.schema).parquet(*files).distinct())
-        index.filter(~F.col("run").isin(old)).unionByName(entries).write.parquet(f"{self.folder}/index/{at + 1}")
+        index.filter(~F.col("run").isin(old)).unionByName(entries).coalesce(INDEX_TASKS).write.parquet(f"{self.folder}/index/{at + 1}")
 
     def clean(self) -> None:
         """Delete runs and indexes that no longer count. Not while others read the ledger."""
@@ -138,7 +153,7 @@ class Ledger:
         """The files to open for the ``key`` values of ``keys``; all of them without."""
         index = self.index()
         if keys is None:
-            return [r.file for r in index.select("file").collect()]
+            return sorted({r.file for r in index.select("file").collect()})
         wanted = keys.select(F.col(self.key).alias("key")).filter("key IS NOT NULL").distinct().withColumn("hash", F.xxhash64("key"))
         head = wanted.limit(MOST_KEYS + 1).toArrow().sort_by("key")
         if len(head) > MOST_KEYS:
@@ -156,7 +171,7 @@ class Ledger:
                         found.append(file)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["file"])
 
-        return [r.file for r in index.select("file", "lower", "upper", "bits").mapInArrow(choose, "file string").collect()]
+        return sorted({r.file for r in index.select("file", "lower", "upper", "bits").mapInArrow(choose, "file string").collect()})
 
     def read(self, keys: DataFrame | None = None) -> DataFrame:
         """The rows of the files that may hold the ``key`` values of ``keys``: all of those, and others beside them."""
