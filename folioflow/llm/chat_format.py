@@ -2,14 +2,19 @@
 
 Every turn has two 64-bit hashes of its place, role and text. Their running sums over a conversation identify each
 prefix, because a sum over places says which turn stands where. A conversation is dropped if its whole sum is that
-of a proper prefix of another one (an anti-join), or if it equals a conversation with a smaller id. Sums, unlike
-chained hashes, can be taken in pieces: long conversations are summed by blocks of turns, so that no task gathers
-one. Rendering writes blocks of turns too; a conversation of at most ``block_turns`` turns is one row.
-
-Only DataFrame functions are used. Turns are ordered by turn (null first), then role and text, and repeated rows
-count as turns of their own. Null roles render as ``unknown`` and null texts as empty, but differ from such values
-when compared. All rows with a null conversation id are one conversation. An empty table gives an empty result.
-Only the four named columns are read, so others cannot clash.
+of a proper prefix of another one (an anti-join), or if it equals a conversation with a smaller id.
+
+Turns are put in order by range, whatever conversation they belong to, and written with a number that rises with the
+order. A long conversation lies in several ranges; it is numbered and summed range by range, and what its earlier ranges
+hold is added. Only the first conversation of a range can have earlier ones, so these additions are one row a
+range and are broadcast. Rendering writes blocks of ``block_turns`` turns, counted by place: a conversation of at
+most so many is one row.
+
+Only DataFrame functions are used. Turns are ordered by turn, role and text (null first; texts by their first ``HEAD``
+characters and then by md5), and repeated rows count as turns of their own, dealt to ranges by a number of their own.
+Null roles render as ``unknown`` and null texts as empty, but differ from such values when compared. All rows with a
+null conversation id are one conversation. An empty table gives an empty result. Only the four named columns are
+read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -20,6 +25,9 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.common import kept
 
+HEAD = 256
+# Text of a range.
+RANGE_BYTES = 96 << 20
 BLOCK_TURNS = 512
 START, BETWEEN, END = "<|im_start|>", "\n", "<|im_end|>\n"
 SUMS = ["a_low", "a_high", "b_low", "b_high"]
@@ -30,79 +38,87 @@ def halves(name: str, hashed: Column) -> list[Column]:
     return [hashed.bitwiseAND(0xFFFFFFFF).alias(f"{name}_low"), F.shiftrightunsigned(hashed, 32).alias(f"{name}_high")]
 
 
-def turn_hashes(df: DataFrame, conv_id: str, turn: str, role: str, text: str, block_turns: int) -> DataFrame:
-    """Turns with their block, place and hashes; texts are left behind. Places count from 0 within a conversation.
-
-    Turn numbers deal the turns out to blocks, so a long conversation is numbered block by block and the blocks'
-    sizes, a row each, are added up.
-    """
+def in_order(df: DataFrame, conv_id: str, turn: str, role: str, text: str, range_bytes: int) -> DataFrame:
+    """conv_id, role, text, slice (the range) and at (a number that rises with the order) of every turn, written."""
     said = df.select(
         F.col(conv_id).cast("bigint").alias("conv_id"),
         F.col(turn).cast("bigint").alias("turn"),
-        F.xxhash64(F.lit(1), F.coalesce(F.col(role), F.lit("")), F.col(role).isNull(), F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()).alias("ha"),
-        F.xxhash64(F.lit(2), F.coalesce(F.col(text), F.lit("")), F.col(text).isNull(), F.coalesce(F.col(role), F.lit("")), F.col(role).isNull()).alias("hb"),
+        F.col(role).cast("string").alias("role"),
+        F.col(text).cast("string").alias("text"),
     )
-    blocked = said.withColumn("block", F.coalesce(F.floor(F.col("turn") / block_turns), F.lit(-(2**62))))
-    within = W.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "ha", "hb")
-    numbered = blocked.withColumn("in_block", F.row_number().over(within) - 1)
-    sizes = numbered.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
-    before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    bases = sizes.select("conv_id", "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    placed = joined(numbered, bases, "conv_id", "block").withColumn("place", F.col("base") + F.col("in_block"))
-    return placed.select("conv_id", "block", "place", *halves("a", F.xxhash64("place", "ha")), *halves("b", F.xxhash64("place", "hb")))
-
-
-def joined(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
-    """Inner join on keys that may be null."""
-    other = right.select(*(F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns))
-    same = [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys]
-    return left.join(other, same).drop(*(f"_r_{k}" for k in keys))
-
-
-def prefixes(hashes: DataFrame) -> DataFrame:
-    """conv_id, n (turns of the prefix) and the sums over it, for every prefix."""
-    inner = W.partitionBy("conv_id", "block").orderBy("place").rowsBetween(W.unboundedPreceding, 0)
-    totals = hashes.groupBy("conv_id", "block").agg(*(F.sum(c).alias(f"t_{c}") for c in SUMS))
-    before = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    bases = totals.select("conv_id", "block", *(F.coalesce(F.sum(f"t_{c}").over(before), F.lit(0)).alias(f"o_{c}") for c in SUMS))
-    running = hashes.select("conv_id", "block", "place", *(F.sum(c).over(inner).alias(c) for c in SUMS))
-    return joined(running, bases, "conv_id", "block").select("conv_id", (F.col("place") + 1).alias("n"), *((F.col(c) + F.col(f"o_{c}")).alias(c) for c in SUMS))
-
+    size = said.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // range_bytes))
+    keys = {"head": F.substring("text", 1, HEAD), "md5": F.md5("text"), "row": F.monotonically_increasing_id()}
+    order = ["conv_id", "turn", "role", *keys]
+    ranged = said.withColumns(keys).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return kept(ranged.select("conv_id", "role", "text", F.spark_partition_id().alias("slice"), F.monotonically_increasing_id().alias("at")), "turns")
 
-def maximal(hashes: DataFrame) -> DataFrame:
-    """conv_id and n_turns of the conversations that are no prefix of another and no copy of one with a smaller id."""
-    runs = kept(prefixes(hashes), "prefixes")
-    lengths = runs.groupBy("conv_id").agg(F.max("n").alias("n_turns"))
-    marked = joined(runs, lengths, "conv_id")
-    whole = marked.filter(F.col("n") == F.col("n_turns")).groupBy("n", *SUMS).agg(F.min("conv_id").alias("conv_id"))
-    shorter = marked.filter(F.col("n") < F.col("n_turns")).select("n", *SUMS).distinct()
-    return whole.join(shorter, ["n", *SUMS], "left_anti").select("conv_id", F.col("n").alias("n_turns"))
 
-
-def render(df: DataFrame, convs: DataFrame, conv_id: str, turn: str, role: str, text: str, block_turns: int) -> DataFrame:
+def joined(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """Join on keys that may be null."""
+    other = right.select(*(F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns))
+    same = [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys]
+    return left.join(other, same, how).drop(*(f"_r_{k}" for k in keys))
+
+
+def earlier(parts: DataFrame, *sums: str) -> DataFrame:
+    """For the parts of conversations that began in an earlier range, the sums over those (``o_``): a row a range at most."""
+    before = W.partitionBy("conv_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    added = parts.select("conv_id", "slice", *(F.sum(c).over(before).alias(f"o_{c}") for c in sums))
+    return added.filter(F.col(f"o_{sums[0]}").isNotNull())
+
+
+def prefixes(turns: DataFrame) -> DataFrame:
+    """at, conv_id, n (turns of the prefix), n_turns (of the conversation) and the sums, for every prefix."""
+    sizes = kept(turns.groupBy("conv_id", "slice").agg(F.count("*").alias("size")), "sizes")
+    bases = kept(earlier(sizes, "size"), "bases")
+    # Conversations in several ranges: fewer than ranges.
+    long = joined(sizes, bases.select("conv_id").distinct(), "conv_id").groupBy("conv_id").agg(F.sum("size").alias("whole"))
+    here = W.partitionBy("conv_id", "slice").orderBy("at")
+    either = [F.coalesce(F.col(c), F.lit("")) for c in ("role", "text")] + [F.col(c).isNull() for c in ("role", "text")]
+    hashed = turns.select("conv_id", "slice", "at", F.xxhash64(F.lit(1), *either).alias("ha"), F.xxhash64(F.lit(2), *reversed(either)).alias("hb"))
+    counted = hashed.withColumns({"nth": F.row_number().over(here), "all_here": F.count("*").over(W.partitionBy("conv_id", "slice"))})
+    placed = joined(counted, F.broadcast(bases), "conv_id", "slice", how="left").withColumn("n", F.col("nth") + F.coalesce("o_size", F.lit(0)))
+    summed = placed.select("conv_id", "slice", "at", "n", "all_here", *halves("a", F.xxhash64("n", "ha")), *halves("b", F.xxhash64("n", "hb")))
+    running = here.rowsBetween(W.unboundedPreceding, 0)
+    runs = kept(summed.select("conv_id", "slice", "at", "n", "all_here", *(F.sum(c).over(running).alias(c) for c in SUMS)), "running")
+    totals = joined(runs, F.broadcast(long), "conv_id").groupBy("conv_id", "slice").agg(*(F.max(c).alias(c) for c in SUMS))
+    added = joined(runs, F.broadcast(earlier(totals, *SUMS)), "conv_id", "slice", how="left")
+    whole = joined(added, F.broadcast(long), "conv_id", how="left")
+    n_turns = F.coalesce("whole", "all_here").alias("n_turns")
+    return whole.select("at", "conv_id", "n", n_turns, *((F.col(c) + F.coalesce(f"o_{c}", F.lit(0))).alias(c) for c in SUMS))
+
+
+def maximal(runs: DataFrame) -> DataFrame:
+    """conv_id of the conversations that are no prefix of another and no copy of one with a smaller id."""
+    whole = runs.filter(F.col("n") == F.col("n_turns")).groupBy("n", *SUMS).agg(F.min("conv_id").alias("conv_id"))
+    shorter = runs.filter(F.col("n") < F.col("n_turns")).select("n", *SUMS).distinct()
+    return whole.join(shorter, ["n", *SUMS], "left_anti").select("conv_id")
+
+
+def render(turns: DataFrame, runs: DataFrame, convs: DataFrame, block_turns: int) -> DataFrame:
     """The turns of ``convs`` as marked text: conv_id, part, n_turns, text."""
-    shown = F.concat(F.lit(START), F.coalesce(F.col(role), F.lit("unknown")), F.lit(BETWEEN), F.coalesce(F.col(text), F.lit("")), F.lit(END))
-    turns = df.select(
-        F.col(conv_id).cast("bigint").alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn).cast("bigint") / block_turns), F.lit(-(2**62))).alias("block"),
-        F.struct(F.col(turn).cast("bigint").alias("turn"), F.col(role).alias("role"), shown.alias("shown")).alias("said"),
-    )
-    blocks = joined(turns, convs, "conv_id").groupBy("conv_id", "block", "n_turns").agg(F.array_sort(F.collect_list("said")).alias("said"))
-    part = F.row_number().over(W.partitionBy("conv_id").orderBy("block")) - 1
-    body = F.array_join(F.transform("said", lambda s: s["shown"]), "")
-    return blocks.select("conv_id", part.cast("int").alias("part"), "n_turns", body.alias("text"))
+    shown = F.concat(F.lit(START), F.coalesce(F.col("role"), F.lit("unknown")), F.lit(BETWEEN), F.coalesce(F.col("text"), F.lit("")), F.lit(END))
+    wanted = joined(runs.select("at", "conv_id", "n", "n_turns"), convs, "conv_id")
+    said = wanted.join(turns.select("at", shown.alias("shown")), "at")
+    part = F.floor((F.col("n") - 1) / block_turns).cast("int").alias("part")
+    blocks = said.groupBy("conv_id", part, "n_turns").agg(F.array_sort(F.collect_list(F.struct("n", "shown"))).alias("said"))
+    return blocks.select("conv_id", "part", "n_turns", F.array_join(F.transform("said", lambda s: s["shown"]), "").alias("text"))
 
 
-def collapse_and_render(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block_turns: int = BLOCK_TURNS) -> DataFrame:
+def collapse_and_render(
+    df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block_turns: int = BLOCK_TURNS, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """Maximal conversations, rendered: conv_id, part, n_turns, text."""
-    hashes = turn_hashes(df, conv_id, turn, role, text, block_turns)
-    return render(df, maximal(hashes), conv_id, turn, role, text, block_turns)
+    turns = in_order(df, conv_id, turn, role, text, range_bytes)
+    runs = kept(prefixes(turns), "prefixes")
+    return render(turns, runs, maximal(runs), block_turns)
 
 
 # Conversations of up to BLOCK_TURNS turns, as all of the given tables are, make one part each.
 ORACLE = f"""
 WITH turns AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n,
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, substring(text, 1, {HEAD}) NULLS FIRST, md5(text)) AS n,
          '{START}' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '{END[:-1]}' || chr(10) AS shown
   FROM conversations),
 runs AS (

@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
 from folioflow.llm import chat_format, decontaminate, line_dedup, quality_rules, url_filter
@@ -142,6 +143,60 @@ def test_chat(spark):
     assert chat_format.collapse_and_render(df.limit(0)).count() == 0
 
 
+CHAT_DDL = "conv_id bigint, turn bigint, role string, text string"
+
+
+def chat_rows(df):
+    return sorted((tuple(r) for r in df.select("conv_id", "part", "n_turns", "text").collect()), key=repr)
+
+
+def plain_render(rows, size=512):
+    """Maximal conversations by comparing every pair of lists of turns."""
+    convs = defaultdict(list)
+    for c, t, role, text in rows:
+        convs[c].append(((t is not None, t or 0), (role is not None, role or ""), (text is not None, text or "")))
+    convs = {c: [(r, x) for _, r, x in sorted(turns)] for c, turns in convs.items()}
+    for c, turns in convs.items():
+        others = [(o, said) for o, said in convs.items() if o != c]
+        if any(len(said) > len(turns) and said[: len(turns)] == turns for _, said in others):
+            continue
+        if any(said == turns and (c is None or o is not None and o < c) for o, said in others):
+            continue
+        shown = [f"<|im_start|>{r if known else 'unknown'}\n{x}<|im_end|>\n" for (known, r), (_, x) in turns]
+        for part in range(0, len(turns), size):
+            yield c, part // size, len(turns), "".join(shown[part : part + size])
+
+
+def test_chat_on_ties(spark):
+    """Turns of equal number stand by role and text in every conversation, whatever their hashes."""
+    rows = []
+    for i in range(40):
+        rows += [(2 * i, 0, "user", f"a{i}"), (2 * i, 0, "user", f"b{i}"), (2 * i + 1, 0, "user", f"a{i}")]
+    rows += [(100, 1, "user", "x"), (100, 1, "assistant", "y"), (101, 1, "assistant", "y"), (102, 1, "user", "x"), (103, None, None, None), (104, None, None, None), (104, None, "user", None)]
+    rows += [(105, 3, "user", "p" * 300 + "z"), (105, 3, "user", "p" * 300 + "z"), (106, 3, "user", "p" * 300 + "z")]
+    df = spark.createDataFrame(rows, CHAT_DDL).repartition(6)
+    got = chat_rows(chat_format.collapse_and_render(df))
+    assert got == sorted(plain_render(rows), key=repr)
+    assert {r[0] for r in got} == {2 * i for i in range(40)} | {100, 102, 104, 105}
+    conversations = df.toArrow()  # noqa: F841  the SQL reads it by name
+    assert got == sorted(duckdb.sql(chat_format.ORACLE).fetchall(), key=repr)
+
+
+def test_chat_parts_by_rank(spark):
+    """Turns 500 to 529 are one row; 1,500 turns are three; a third of all rows without an id, and one repeated turn, spread over ranges."""
+    rows = [(1, t, "user", f"t{t}") for t in range(500, 530)] + [(2, t, "user", f"u{t}") for t in range(1500)] + [(3, t, "user", f"u{t}") for t in range(1400)]
+    rows += [(None, t % 7, "user", f"n{t % 40}") for t in range(3000)] + [(4, 5, "user", "same")] * 2500 + [(5, 5, "user", "same")] * 700
+    rows += [(6, 0, "user", f"u{t}") for t in range(1500)]
+    df = spark.createDataFrame(rows, CHAT_DDL).repartition(5)
+    want = sorted(plain_render(rows), key=repr)
+    assert chat_rows(chat_format.collapse_and_render(df, range_bytes=2000)) == want
+    assert {r[0]: sum(w[0] == r[0] for w in want) for r in want} == {1: 1, 2: 3, None: 6, 4: 5, 6: 3}
+    turns = chat_format.in_order(df, "conv_id", "turn", "role", "text", 2000)
+    sizes = [r["count"] for r in turns.groupBy("slice").count().collect()]
+    assert max(sizes) < 0.2 * len(rows)
+    assert chat_rows(chat_format.collapse_and_render(df, block_turns=7)) == sorted(plain_render(rows, 7), key=repr)
+
+
 def test_chat_is_native(spark):
     plan = chat_format.collapse_and_render(spark.range(3).selectExpr("id AS conv_id", "id AS turn", "'u' AS role", "'t' AS text"))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
