@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import kept, packed, rows_of, text_key
@@ -144,8 +144,12 @@ def spans_of(words: list[str], ends: list[int], span: int, min_words: int) -> li
     return [(i, e, xxhash.xxh3_128_digest(whole[places[i] : places[e] - 1])) for i, e in runs]
 
 
+# A row without a hash is a row of the document: `end` is the number of its pieces.
 SPANS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("first", pa.int32()), ("end", pa.int32()), ("again", pa.bool_())])
 SPANS_DDL = "doc_id bigint, text_key bigint, high bigint, low bigint, first int, end int, again boolean"
+# Bits of the filter in front of the join, and how many a shared hash gets; 16 MB at most are sent to the tasks.
+FILTER_BITS = 1 << 27
+BITS_A_HASH = 32
 
 
 def narrow(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -158,6 +162,7 @@ def span_rows(span: int, min_words: int):
             for doc_id, key, text in rows_of(batches, "doc_id", "text_key", "text"):
                 seen: dict[bytes, int] = {}
                 words, ends, _ = cut_up(text)
+                yield doc_id, key, None, None, 0, max(len(ends), 1 if text else 0), False
                 for first, end, hashed in spans_of(words, ends, span, min_words):
                     before = seen.setdefault(hashed, end)
                     # A span that overlaps its own first occurrence is a run of equal pieces: it goes too.
@@ -169,16 +174,41 @@ def span_rows(span: int, min_words: int):
     return run
 
 
-def repeated_spans(df: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_key, first, end, first_doc_id of every span that is not the first of its kind."""
+def may_be_shared(shared: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """False for most hashes that ``shared`` lacks, and true for all that it has: one bit of each is kept in a bitmap.
+
+    The bitmap has ``bits`` bits at most, however many hashes there are; with more of them it spares less.
+    """
+    n = shared.count()
+    size = min(bits, max(1 << 10, 1 << (n * BITS_A_HASH).bit_length()))
+    place = F.col("_low").bitwiseAND(F.lit(size - 1))
+    words = shared.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, int(_low & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set")).toArrow()
+    bitmap = np.zeros(size >> 6, np.int64)
+    bitmap[words["word"].to_numpy()] = words["set"].to_numpy()
+    known = shared.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+
+    @F.arrow_udf("boolean")
+    def test(low: pa.Array) -> pa.Array:
+        bits, at = np.frombuffer(known.value, np.int64), low.fill_null(0).to_numpy(zero_copy_only=False) & (size - 1)
+        return pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return test("low")
+
+
+def repeated_spans(df: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, first, end, first_doc_id of every span that is not the first of its kind; doc_id, text_key, n
+    of every document, n being the number of its pieces)."""
     found = kept(narrow(df, doc_id, text).mapInArrow(span_rows(span, min_words), SPANS_DDL), "spans")
     order = F.coalesce("doc_id", F.lit(NO_ID))
-    of_hash = found.groupBy("high", "low").agg(F.min(order).alias("least"), F.max(order).alias("most"))
+    hashed = found.filter("high IS NOT NULL")
+    of_hash = hashed.groupBy("high", "low").agg(F.min(order).alias("least"), F.max(order).alias("most"))
     shared = kept(of_hash.filter("least < most").select(F.col("high").alias("_high"), F.col("low").alias("_low"), "least"), "shared")
-    outer = found.filter("not again").join(shared, (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low")) & (order > F.col("least")))
+    likely = hashed.filter("not again").filter(may_be_shared(shared))
+    outer = likely.join(shared, (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low")) & (order > F.col("least")))
     ids = ["doc_id", "text_key", "first", "end"]
     elsewhere = outer.select(*ids, F.when(F.col("least") != NO_ID, F.col("least")).alias("first_doc_id"))
-    return elsewhere.unionByName(found.filter("again").select(*ids, F.col("doc_id").alias("first_doc_id")))
+    spans = elsewhere.unionByName(found.filter("again").select(*ids, F.col("doc_id").alias("first_doc_id")))
+    return spans, found.filter("high IS NULL").select("doc_id", "text_key", F.col("end").alias("n"))
 
 
 def covered(n: int, ranges: list[tuple[int, int]]) -> np.ndarray:
@@ -195,11 +225,11 @@ RESULT_DDL = "doc_id bigint, n_sentences bigint, n_removed bigint, first_doc_ids
 
 def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
-        for doc_id, text, ranges, firsts in rows_of(batches, "doc_id", "text", "ranges", "first_doc_ids"):
-            parts = sentences(text)
+        for doc_id, text, n, ranges, firsts in rows_of(batches, "doc_id", "text", "n", "ranges", "first_doc_ids"):
             if not ranges:
-                yield doc_id, len(parts), 0, [], text
+                yield doc_id, n, 0, [], text
                 continue
+            parts = sentences(text)
             gone = covered(len(parts), [(r["first"], r["end"]) for r in ranges])
             yield doc_id, len(parts), int(gone.sum()), firsts, "".join(p for p, g in zip(parts, gone.tolist()) if not g)
 
@@ -209,10 +239,16 @@ def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(df: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every document with what is left: doc_id, n_sentences, n_removed, first_doc_ids (where its removed spans stand
     first), text. Null texts stay null."""
-    ranges = repeated_spans(df, span, min_words, doc_id, text).groupBy("doc_id", "text_key").agg(
-        F.collect_set(F.struct("first", "end")).alias("ranges"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids")
+    spans, sizes = repeated_spans(df, span, min_words, doc_id, text)
+    # Every document has a row of its size; those with spans that go are cut up once more.
+    one = F.struct("first", "end")
+    marked = spans.select("doc_id", "text_key", one.alias("range"), "first_doc_id", F.lit(None).cast("int").alias("n")).unionByName(
+        sizes.select("doc_id", "text_key", "n"), allowMissingColumns=True
+    )
+    ranges = marked.groupBy("doc_id", "text_key").agg(
+        F.max("n").alias("n"), F.collect_set("range").alias("ranges"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids")
     )
-    marks = ranges.select(F.col("doc_id").alias("_m_doc"), F.col("text_key").alias("_m_key"), "ranges", "first_doc_ids")
+    marks = ranges.select(F.col("doc_id").alias("_m_doc"), F.col("text_key").alias("_m_key"), "n", "ranges", "first_doc_ids")
     docs = narrow(df, doc_id, text)
     same = docs["doc_id"].eqNullSafe(marks["_m_doc"]) & (docs["text_key"] == marks["_m_key"])
-    return docs.join(marks, same, "left").select("doc_id", "text", "ranges", "first_doc_ids").mapInArrow(remove, RESULT_DDL)
+    return docs.join(marks, same, "left").select("doc_id", "text", "n", "ranges", "first_doc_ids").mapInArrow(remove, RESULT_DDL)

@@ -147,6 +147,81 @@ def test_substrings(docs, odd_rows):
     assert substring_dedup.remove_repeats(docs((1, "x")).limit(0)).count() == 0
 
 
+def own_pieces(text, window=9):
+    """Runs of words, cut the slow way: behind the least of any nine words in a row, an end of a sentence before all others."""
+    words = text.split()
+    ends = [bool(re.search(r"[.!?]$", w)) or after.startswith("\n") or "\n" in after for w, after in re.findall(r"(\S+)(\s*)", text)]
+    ends[-1:] = [words[-1][-1] in ".!?" and text[-1].isspace() or "\n" in text[len(text.rstrip()):]] if words else []
+    keys = [(not e, xxhash.xxh64_intdigest(w.lower()) >> 1) for w, e in zip(words, ends)]
+    cuts = {min(range(at, at + window), key=keys.__getitem__) for at in range(len(words) - window + 1)} | {len(words) - 1} if words else set()
+    pieces, start = [], 0
+    for cut in sorted(cuts):
+        pieces.append([w.lower() for w in words[start : cut + 1]])
+        start = cut + 1
+    return pieces
+
+
+def own_spans(pieces):
+    """(first, end) of the shortest run of two pieces or more with fifteen words that each piece starts."""
+    found = []
+    for i in range(len(pieces)):
+        for e in range(i + 2, len(pieces) + 1):
+            if sum(map(len, pieces[i:e])) >= 15:
+                found.append((i, e))
+                break
+    if found and found[-1][1] < len(pieces):
+        found.append((found[-1][0], len(pieces)))
+    return found
+
+
+def test_against_a_version_of_its_own(docs):
+    """Cuts, spans, hashes, first documents and covered pieces, none of it by the code under test."""
+    draw = random.Random(21)
+    names = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(2, 9))) for _ in range(4000)]
+
+    def prose(n, stop):
+        words = draw.sample(names, n)
+        return " ".join(w + (draw.choice([".", "!", "?"]) if draw.random() < stop else "") for w in words).capitalize()
+
+    shared = [prose(draw.randint(20, 90), 0.07) for _ in range(8)]
+    rows = []
+    for i in range(60):
+        parts = [prose(draw.randint(1, 70), draw.choice([0, 0.05, 0.3])) for _ in range(draw.randint(1, 4))]
+        if i % 3:
+            parts.insert(draw.randint(0, len(parts)), shared[draw.randrange(8)])
+        rows.append((i, draw.choice([" ", "\n", "\n\n", ". "]).join(parts)))
+    rows += [(70, rows[4][1]), (71, rows[4][1].upper()), (72, shared[0] + " " + shared[0])]
+    pieces = {d: own_pieces(t) for d, t in rows}
+    first, within = {}, {}
+    for d, parts in pieces.items():
+        for i, e in own_spans(parts):
+            said = " ".join(w for p in parts[i:e] for w in p)
+            first.setdefault(said, d)
+            within.setdefault((d, said), e)
+    want = {}
+    for d, parts in pieces.items():
+        gone = set()
+        for i, e in own_spans(parts):
+            said = " ".join(w for p in parts[i:e] for w in p)
+            if first[said] != d or within[d, said] != e:
+                gone.update(range(i, e))
+        want[d] = (len(parts), len(gone), [w for n, p in enumerate(parts) if n not in gone for w in p])
+    got = substring_dedup.remove_repeats(docs(*rows)).collect()
+    assert {r.doc_id: (r.n_sentences, r.n_removed, r.text.lower().split()) for r in got} == want
+    assert sum(n > 0 for _, n, _ in want.values()) > 25
+
+
+def test_filter_lets_every_shared_hash_through(spark):
+    draw = random.Random(22)
+    low = [draw.randrange(-(1 << 63), 1 << 63) for _ in range(3000)]
+    shared = spark.createDataFrame([(v,) for v in low[:500]], "_low bigint")
+    every = spark.createDataFrame([(v,) for v in low], "low bigint")
+    for bits in (1 << 27, 1 << 10):
+        left = {r.low for r in every.filter(substring_dedup.may_be_shared(shared, bits)).collect()}
+        assert set(low[:500]) <= left and (bits == 1 << 10 or len(left) < 700)
+    assert every.filter(substring_dedup.may_be_shared(shared.limit(0))).count() == 0
+
+
 def test_sentences_join_to_the_text():
     draw = random.Random(9)
     for _ in range(300):
