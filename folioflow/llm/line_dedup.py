@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.common import kept, packed, rows_of, text_key, unused
 
+# Rows of keys in one range, some 100 MB.
+RANGE_LINES = 2_000_000
 KEYS = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("places", pa.binary()), ("n_lines", pa.int32())])
 KEYS_DDL = "doc_id bigint, text_key bigint, high bigint, low bigint, places binary, n_lines int"
 DROP, ASK, EDGE = 0, 1, 2
@@ -135,7 +137,7 @@ def line_bitmaps(df: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fir
     line, by document and place, stays.
     """
     lines = kept(keyed(df, doc_id, text).mapInArrow(keys_of_lines(min_chars), KEYS_DDL), "lines")
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // RANGE_LINES))
     order = ["high", "low", "doc_id", "text_key"]
     ranged = lines.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     judged = kept(ranged.mapInArrow(judge_runs(min_docs, keep_first), JUDGED_DDL), "judged")
@@ -152,8 +154,9 @@ def with_bitmaps(df: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text
     """``df`` with each document's bitmap in a new column, whose name is returned."""
     key, keep = unused(df, "_text_key"), unused(df, "_keep")
     docs = df.withColumn(key, text_key(text))
-    marks = bitmaps.select(F.col("doc_id").alias("_m_doc"), F.col("text_key").alias("_m_key"), F.col("keep").alias(keep))
-    same = docs[doc_id].cast("bigint").eqNullSafe(marks["_m_doc"]) & (docs[key] == marks["_m_key"])
+    mark_doc, mark_key = unused(df, "_m_doc"), unused(df, "_m_key")
+    marks = bitmaps.select(F.col("doc_id").alias(mark_doc), F.col("text_key").alias(mark_key), F.col("keep").alias(keep))
+    same = docs[doc_id].cast("bigint").eqNullSafe(marks[mark_doc]) & (docs[key] == marks[mark_key])
     return docs.join(marks, same, "left").select(*df.columns, keep), keep
 
 

@@ -59,6 +59,14 @@ def test_lines_odd(docs, odd_rows):
     assert null.text is None
 
 
+def test_lines_beside_columns_of_any_name(spark):
+    names = ["_m_doc", "_m_key", "_text_key", "_keep", "keep", "high", "low", "places", "kind"]
+    rows = [(i, f"common\nown {i}", *range(len(names))) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} bigint" for n in names))
+    left = line_dedup.drop_lines(df, line_dedup.line_bitmaps(df))
+    assert left.columns == df.columns and sorted(r.text for r in left.collect()) == sorted(f"own {i}" for i in range(12))
+
+
 def plain_hits(text, items, window=13):
     ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(KEY))
     hit, found = set(), set()
