@@ -33,6 +33,7 @@ from folioflow.session import scratch_path, written
 from folioflow.sources import events as se
 from folioflow.sources import records as sr
 from folioflow.sources.files import keep_objects
+from folioflow.streaming import delivery as sd
 from folioflow.streaming import pipeline as sp
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1060,3 +1061,33 @@ def order_pages(spark, sf):
     """Reading order, with a running number."""
     ordered = oc.order_pages(_chunks(spark, sf).select("source_file", "part", F.col("page_num").cast("bigint").alias("page_num"), F.lit(0).alias("all")))
     return number_rows(ordered, ["all"], ["source_file", "part", "page_num"], "place").drop("all")
+
+
+@query(f"""WITH {FILES} SELECT name, 1::BIGINT AS generation, 1 AS try FROM files
+  UNION ALL SELECT name, 1, 2 FROM files WHERE doc_id % 11 = 5 AND doc_id % 13 <> 0
+  UNION ALL SELECT name, 2, 1 FROM files WHERE doc_id % 13 = 0""")
+def delivery_stream(spark, sf):
+    """All files announced twice, some of them failed and sent again by the stream, some uploaded anew."""
+    folder = scratch_path(spark, "delivery")
+    files = fx.files(spark, sf).select("bucket", "name", "doc_id")
+    given, out = f"{folder}/given", f"{folder}/out"
+
+    def announce(rows, generation, name):
+        rows.select("bucket", "name", F.lit(generation).cast("bigint").alias("generation")).write.parquet(f"{given}/{name}")
+
+    spark.createDataFrame([], sr.QUARANTINE).write.parquet(sp.quarantine_dir(out))
+    announce(files.unionAll(files), 1, "first")
+    events = spark.readStream.schema("bucket string, name string, generation bigint").option("recursiveFileLookup", "true").parquet(given)
+    query = sd.run_delivery_stream(spark, events, out, f"{folder}/events", f"{folder}/checkpoint", delay_s=0, trigger={"processingTime": "0 seconds"}, log=f"{folder}/log")
+    try:
+        sd.read_all(query)
+        failed = files.filter("doc_id % 11 = 5 AND doc_id % 13 <> 0").select("bucket", "name", F.lit("transient").alias("status"), F.lit("busy").alias("error"))
+        sr.write_quarantine(failed, sp.quarantine_dir(out), "metadata")
+        sd.read_all(query)
+        announce(files, 1, "again")
+        announce(files.filter("doc_id % 13 = 0"), 2, "new")
+        sd.read_all(query)
+    finally:
+        query.stop()
+    sent = spark.read.schema(sd.SENT).option("recursiveFileLookup", "true").parquet(f"{folder}/log")
+    return sent.select("name", "generation", "try")
