@@ -69,13 +69,13 @@ def row_blocks(
     are then cut out of the runs, and only those that lie across two runs are put together. Rows that tie on
     ``order`` stand by a hash, so that neither a hot sheet nor a hot value has to share a range.
     """
-    # Rendered before the shuffle, while the rows still lie spread over the scan's tasks.
-    by = {f"_by{i}": F.col(c) for i, c in enumerate(order)}
-    rendered = df.select(part, *[c.alias(k) for k, c in by.items()], render_row(cells).alias("_text"))
-    keys = [part, *by, "_hash", "_tie"]
-    tied = rendered.withColumns({"_hash": F.xxhash64(*rendered.columns), "_tie": F.monotonically_increasing_id()})
+    # Cells are rendered behind the shuffle: the rows go through here twice, once to sample the ranges.
+    by, shown = {f"_by{i}": c for i, c in enumerate(order)}, {f"_cell{i}": c for i, c in enumerate(cells)}
+    raw = df.select(F.col(part).alias("sheet"), *[F.col(c).alias(k) for k, c in (by | shown).items()])
+    keys = ["sheet", *by, "_hash", "_tie"]
+    tied = raw.withColumns({"_hash": F.xxhash64(*raw.columns), "_tie": F.monotonically_increasing_id()})
     ranged = tied.repartitionByRange(slices, *keys) if slices else tied.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys).select(F.col(part).alias("sheet"), "_text")
+    ordered = ranged.sortWithinPartitions(*keys).select("sheet", render_row([*shown]).alias("_text"))
     schema = T.StructType([T.StructField(name, kind or df.schema[part].dataType) for name, kind in RUN_FIELDS.items()])
     streamed = written(ordered.mapInArrow(lambda batches: runs_of_lines(batches, n), schema), "runs")
 
