@@ -448,6 +448,34 @@ def metadata_plugin(spark, sf):
     )
 
 
+def _seeing_model(batches):
+    """Stands for a model that is shown an image, a text, or both."""
+
+    def ask(text, image):
+        seen = "no image" if image is None else f"image of {len(image)} bytes"
+        return json.dumps({"summary": f"{seen}; {text}", "document_type": "image" if image is not None else "text"}, ensure_ascii=False)
+
+    yield from per_page(ask, "metadata_raw")(batches)
+
+
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'image of ' || strlen(html) || ' bytes; (No text content found on this page)'
+    WHEN 1 THEN 'no image; ' || url ELSE 'image of ' || strlen(html) || ' bytes; ' || url END AS summary,
+  CASE page_id % 3 WHEN 1 THEN 'text' ELSE 'image' END AS document_type, 'ok' AS status FROM pages""")
+def metadata_of_images_and_texts(spark, sf):
+    """Metadata of pages that are an image only, a text only, or both."""
+    kind = F.col("page_id") % 3
+    pages = fx.table(spark, sf, "pages").select(
+        "page_id",
+        F.concat(F.lit("gs://web/"), F.col("page_id").cast("string")).alias("source_file"),
+        F.lit("").alias("part"),
+        F.lit(0).alias("page_num"),
+        F.when(kind == 0, "").otherwise(F.col("url")).alias("page_text"),
+        F.when(kind != 1, F.encode("html", "UTF-8")).alias("image"),
+    )
+    told = om.extract_metadata(pages, _seeing_model, batch_rows=32)
+    return told.select("page_id", F.col("metadata.summary").alias("summary"), F.col("metadata.document_type").alias("document_type"), ev.classify_error(F.col("error")).alias("status"))
+
+
 @query(f"WITH {PAGES} SELECT source_file, page_num, {summary_sql('page_text')} AS summary FROM pages WHERE {summary_sql('page_text')} <> ''")
 def require_summary(spark, sf):
     told = fx.keyed_pages(spark, sf).withColumn("summary", om.lead_summary(F.col("page_text")))
