@@ -958,23 +958,25 @@ def _stored(rows: DataFrame) -> DataFrame:
 
 @query(STORED)
 def upsert_store(spark, sf):
-    """Two loads of the same pages appended, compacted, read back: one row per key."""
+    """Two loads of the same keys, the first with other values, compacted, read back: one row per key, the newest."""
     folder = scratch_path(spark, "store")
     records = to_page_records(om.extract_metadata(_chunks(spark, sf)))
-    for batch in (0, 1):
-        good, _ = ev.split_status(embed_pages(records))
-        sr.upsert_store(good, folder, batch)
+    good = written(ev.split_status(embed_pages(records))[0], "rows")
+    old = {"chunk_description": F.lit("old"), "metadata": F.lit('{"summary": "old"}')}
+    sr.upsert_store(good.withColumns(old), folder, 0)
+    sr.upsert_store(good, folder, 1)
     compact = scratch_path(spark, "store")
     st.compact_store(sr.read_store(spark, folder), compact)
     return _stored(sr.read_store(spark, compact))
 
 
 def _stream(spark, sf, times: int, reprocess: bool = False) -> tuple[str, str]:
-    """Events of all files through both stages, sent ``times`` times."""
+    """Events of all files through both stages, sent ``times`` times; what is reprocessed had other texts at first."""
     base = scratch_path(spark, "stream")
     files = fx.files(spark, sf).select("bucket", "name", "text")
-    load = sp.from_table(files)
     for n in range(times):
+        other = reprocess and n == 0
+        load = sp.from_table(files.withColumn("text", F.translate("text", "aeiou", "xxxxx")) if other else files)
         sp.backfill(spark, files, f"{base}/events", load, f"{base}/out", f"{base}/cp1", page_lines=20, reprocess=reprocess and n > 0).awaitTermination()
         sp.run_embed_stream(spark, f"{base}/out", f"{base}/store", f"{base}/cp2").awaitTermination()
     return f"{base}/out", f"{base}/store"
