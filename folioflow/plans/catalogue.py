@@ -1108,7 +1108,7 @@ def delivery_stream(spark, sf):
     spark.createDataFrame([], sr.QUARANTINE).write.parquet(sp.quarantine_dir(out))
     announce(files.unionAll(files), 1, "first")
     events = spark.readStream.schema("bucket string, name string, generation bigint").option("recursiveFileLookup", "true").parquet(given)
-    query = sd.run_delivery_stream(spark, events, out, f"{folder}/events", f"{folder}/checkpoint", delay_s=0, trigger={"processingTime": "0 seconds"}, log=f"{folder}/log")
+    query = sd.run_delivery_stream(spark, events, out, f"{folder}/events", f"{folder}/checkpoint", delay_s=0, trigger={"processingTime": "0 seconds"}, log=f"{folder}/log", partitions=8)
     try:
         sd.read_all(query)
         failed = files.filter("doc_id % 11 = 5 AND doc_id % 13 <> 0").select("bucket", "name", F.lit("transient").alias("status"), F.lit("busy").alias("error"))

@@ -31,6 +31,7 @@ SENT = "bucket string, name string, generation bigint, try int"
 # Timers need this state store; the default one cannot hold them.
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PARTITIONS = "spark.sql.shuffle.partitions"
 DAY_MS = 24 * 60 * 60 * 1000
 NOT_DUE = 0
 TRIGGER = {"processingTime": "10 seconds"}
@@ -107,12 +108,13 @@ def deliveries(rows: DataFrame, delay_s: float = 60, max_tries: int = MAX_TRIES,
 
 def run_delivery_stream(
     spark: SparkSession, events: DataFrame, out: str, events_dir: str, checkpoint: str, delay_s: float = 60, max_tries: int = MAX_TRIES, keep_days: float = 30,
-    trigger: dict | None = None, log: str | None = None,
+    trigger: dict | None = None, log: str | None = None, partitions: int | None = None,
 ) -> StreamingQuery:
     """Events (``bucket, name, generation``) and the failures of stage 1 below ``out`` to envelopes in ``events_dir``.
 
     Stage 1 reads that folder. A batch that is replayed replaces its envelopes. With ``log``, what was sent is also
-    written there, with its generation and try. The query goes on until it is stopped, and looks at its timers at every
+    written there, with its generation and try. The state keeps the number of ``partitions`` (as the session's shuffles,
+    unless given) that the query first started with. The query goes on until it is stopped, and looks at its timers at every
     trigger; ``availableNow`` would not end either while there is state.
     """
     quarantined = outcomes_stream(spark, out)
@@ -125,12 +127,15 @@ def run_delivery_stream(
             held.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
         held.unpersist()
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB} | ({PARTITIONS: str(partitions)} if partitions else {})
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         return _start(deliveries(rows, delay_s, max_tries, keep_days), batch, checkpoint, trigger or TRIGGER)
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_all(query: StreamingQuery, seconds: float = 600) -> None:
