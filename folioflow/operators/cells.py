@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.rounding import round_half_up
 from folioflow.operators.blocks import meet_in_blocks
-from folioflow.operators.search import BLOCK_ROWS, BROADCAST_BYTES, DIGITS, _hit_schema, _ids, _knn_broadcast, _matrix, _pick, _settled, _take_best
+from folioflow.operators.search import BLOCK_ROWS, BROADCAST_BYTES, CELL_QUERIES, DIGITS, PAIR_CELLS, _hit_schema, _ids, _knn_broadcast, _matrix, _native, _pick, _settled, _take_best
 from folioflow.session import scratch_path, written
 
 # Vectors that centroids and codebooks are trained on: those of smallest id hash.
@@ -41,8 +41,11 @@ ASKED = 128
 NEIGHBOURS = 10
 TARGET = 0.95
 TASK_BYTES = 128 << 20
-# Queries whose estimates are held at a time.
+# Queries and chunks whose estimates are held at a time.
 QUERY_ROWS = 256
+TILE_ROWS = 4096
+# Largest set of queries that is sent to the index.
+NEAR_QUERIES = 4096
 
 
 def hash_order(salt: str = "", id_col: str = "cid") -> list[Column]:
@@ -84,13 +87,13 @@ class Coder:
         far = squares(x, self.centroids)
         return np.argsort(far, axis=1, kind="stable")[:, :n]
 
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """What the codes stand for: rows x components."""
+        return np.concatenate([book[codes[:, p]] for p, book in enumerate(self.books)], axis=1).astype(np.float64)[:, : self.centroids.shape[1]]
+
     def estimates(self, x: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Queries x chunks of one cell: squared distances to what the codes stand for."""
-        rest = self.parts(x - self.centroids[cell])
-        total = np.zeros((len(x), len(codes)))
-        for p, book in enumerate(self.books):
-            total += squares(rest[p], book)[:, codes[:, p]]
-        return total
+        return squares(x - self.centroids[cell], self.decoded(codes))
 
 
 def _floored_means(before: np.ndarray, rows: DataFrame) -> np.ndarray:
@@ -150,39 +153,48 @@ def train(stored: DataFrame, dim: int, cells: int, codes: int = CODES, run: int
 
 
 class Shortest:
-    """Per query the ``keep`` chunks of smallest (estimate, id) seen so far, with their exact distances."""
+    """Per query the ``keep`` chunks of smallest (estimate, id) seen so far, with their exact distances; with ``limits``,
+    those of no larger estimate only."""
 
-    def __init__(self, queries: np.ndarray, keep: int):
+    def __init__(self, queries: np.ndarray, keep: int, limits: np.ndarray | None = None):
         self.queries, self.keep = queries, keep
-        self.bound = np.full(len(queries), np.inf)
-        self.found: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-
-    def add(self, rows: np.ndarray, estimates: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """``estimates`` of the chunks for the queries numbered ``rows``; inf leaves a chunk out."""
-        if estimates.shape[1] > self.keep:
-            kth = np.partition(estimates, self.keep - 1, axis=1)[:, self.keep - 1]
-            limit = np.minimum(self.bound[rows], kth)
-        else:
-            limit = self.bound[rows]
+        self.bound = np.full(len(queries), np.inf) if limits is None else limits.astype(np.float64)
+        # Per span of queries: query, estimate, id and distance, in this order.
+        self.found: dict[int, tuple[np.ndarray, ...]] = {}
+
+    def add(self, first: int, estimates: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """``estimates`` of the chunks for the span of queries from ``first`` on; inf leaves a chunk out."""
+        rows = slice(first, first + len(estimates))
+        limit = self.bound[rows].copy()
         near = (estimates <= limit[:, None]) & np.isfinite(estimates)
-        for i in np.flatnonzero(near.any(axis=1)):
-            q, at = int(rows[i]), np.flatnonzero(near[i])
-            at = at[np.lexsort((ids[at], estimates[i, at]))][: self.keep]
-            exact = round_half_up(np.sqrt(((vectors[at] - self.queries[q]) ** 2).sum(axis=1)), DIGITS)
-            new = estimates[i, at], np.array(ids[at].tolist()), exact
-            if q in self.found:
-                new = tuple(np.concatenate(pair) for pair in zip(self.found[q], new))
-            best = np.lexsort((new[1], new[0]))[: self.keep]
-            self.found[q] = tuple(column[best] for column in new)
-            if len(best) == self.keep:
-                self.bound[q] = self.found[q][0][-1]
+        many = np.flatnonzero(np.count_nonzero(near, axis=1) > self.keep)
+        if len(many):
+            kth = np.partition(estimates[many], self.keep - 1, axis=1)[:, self.keep - 1]
+            near[many] &= estimates[many] <= kth[:, None]
+        q, at = np.nonzero(near)
+        if not len(q):
+            return
+        new_estimates, new_ids, q = estimates[q, at], np.array(ids[at].tolist()), q + first
+        exact, step = np.empty(len(q)), max(1, PAIR_CELLS // vectors.shape[1])
+        for i in range(0, len(q), step):
+            apart = vectors[at[i : i + step]].astype(np.float64) - self.queries[q[i : i + step]]
+            exact[i : i + step] = round_half_up(np.sqrt((apart**2).sum(axis=1)), DIGITS)
+        new = q, new_estimates, new_ids, exact
+        if first in self.found:
+            new = tuple(np.concatenate(pair) for pair in zip(self.found[first], new))
+        order = np.lexsort((new[2], new[1], new[0]))
+        sorted_q = new[0][order]
+        place = np.arange(len(order)) - np.searchsorted(sorted_q, sorted_q)
+        self.found[first] = tuple(column[order[place < self.keep]] for column in new)
+        last = order[place == self.keep - 1]
+        self.bound[new[0][last]] = np.minimum(self.bound[new[0][last]], new[1][last])
 
     def result(self, query_ids: np.ndarray, schema: pa.Schema) -> pa.Table:
-        columns: list[list] = [[], [], [], []]
-        for q, (estimate, ids, dist) in self.found.items():
-            for column, values in zip(columns, ([query_ids[q : q + 1].tolist()[0]] * len(ids), ids.tolist(), dist.tolist(), estimate.tolist())):
-                column.extend(values)
-        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+        parts = [
+            pa.Table.from_arrays([pa.array(c.tolist(), type=f.type) for c, f in zip((query_ids[q], ids, dist, estimate), schema)], schema=schema)
+            for q, estimate, ids, dist in self.found.values()
+        ]
+        return pa.concat_tables(parts) if parts else schema.empty_table()
 
 
 def _by_cell(cells: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -203,11 +215,14 @@ class CellIndex:
         self, queries: DataFrame, k: int, query_id: str = "qid", vec: str = "text_embedding", other_only: bool = False,
         probes: int | None = None, shortlist: int | None = None, broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS,
     ) -> DataFrame:
-        """``qid, cid, rank, dist``. Query sets within ``broadcast_bytes`` go to the index; of a larger one each query
-        meets the blocks of its cells, and each chunk is sent once for every ``block_rows`` queries of its cell."""
+        """``qid, cid, rank, dist``. Query sets within ``broadcast_bytes`` and NEAR_QUERIES go to the index; of a larger
+        one each query meets the blocks of its nearest cell first, and with the longest estimate that it would keep of
+        those it goes on to its other cells, from which only shorter ones come back."""
         probes, keep = max(1, probes or self.probes), max(k, shortlist or self.shortlist)
         asked = _settled(_pick(queries, query_id, vec, "qid"), "qid", self.dim)
         most = max(1, broadcast_bytes // (8 * self.dim))
+        # More would leave every task with as many estimates of all of them.
+        most = min(most, NEAR_QUERIES)
         head = asked.limit(most + 1).toArrow()
         hits = self._near(asked, head, probes, keep, other_only) if head.num_rows <= most else self._meet(asked, probes, keep, other_only, block_rows)
         best = Window.partitionBy("qid").orderBy("estimate", "cid")
@@ -230,17 +245,19 @@ class CellIndex:
             query_ids, vectors, asked_cells = shared.value
             best, x = Shortest(vectors, keep), coder.ints(vectors)
             for batch in batches:
-                ids, chunks = _ids(batch.column("cid")), _matrix(batch.column("vec"), dim)
-                codes = _matrix(batch.column("codes"), len(coder.books)).astype(np.uint8)
-                here = list(_by_cell(batch.column("cell").to_numpy()))
-                for at in range(0, len(x), QUERY_ROWS):
-                    who = np.arange(at, min(at + QUERY_ROWS, len(x)))
-                    estimates = np.full((len(who), len(ids)), np.inf)
-                    for cell, rows in here:
-                        probing = np.flatnonzero((asked_cells[who] == cell).any(axis=1))
-                        if len(probing):
-                            estimates[np.ix_(probing, rows)] = coder.estimates(x[who[probing]], cell, codes[rows])
-                    _offer(best, who, estimates, query_ids, ids, chunks, other_only)
+                for first in range(0, batch.num_rows, TILE_ROWS):
+                    part = batch.slice(first, TILE_ROWS)
+                    ids, chunks = _ids(part.column("cid")), _native(part.column("vec"), dim)
+                    decoded = coder.decoded(_matrix(part.column("codes"), len(coder.books)).astype(np.uint8))
+                    here = list(_by_cell(part.column("cell").to_numpy()))
+                    for at in range(0, len(x), QUERY_ROWS):
+                        who = slice(at, at + QUERY_ROWS)
+                        estimates = np.full((len(x[who]), len(ids)), np.inf)
+                        for cell, rows in here:
+                            probing = np.flatnonzero((asked_cells[who] == cell).any(axis=1))
+                            if len(probing):
+                                estimates[np.ix_(probing, rows)] = squares(x[who][probing] - coder.centroids[cell], decoded[rows])
+                        _offer(best, who, estimates, query_ids, ids, chunks, other_only)
             yield from best.result(query_ids, arrow).to_batches()
 
         probed = self.table if len(wanted) >= len(coder.centroids) else self.table.filter(F.col("cell").isin(wanted))
@@ -252,29 +269,42 @@ class CellIndex:
 
         @F.arrow_udf("array<int>")
         def probed(vectors: pa.Array) -> pa.Array:
-            return pa.array(list(coder.probes(coder.ints(_matrix(vectors, dim)), probes).astype(np.int32)), type=pa.list_(pa.int32()))
-
-        travelling = written(asked.withColumn("cell", F.explode(probed("vec"))), "probes")
+            rows = coder.ints(_matrix(vectors, dim))
+            found = [cells for at in range(0, len(rows), CELL_QUERIES) for cells in coder.probes(rows[at : at + CELL_QUERIES], probes).astype(np.int32)]
+            return pa.array(found, type=pa.list_(pa.int32()))
 
         def meet(left: pa.Table, right: pa.Table) -> pa.Table:
             if not left.num_rows or not right.num_rows:
                 return arrow.empty_table()
-            vectors, ids = _matrix(left["vec"], dim), _ids(left["qid"])
-            best, x = Shortest(vectors, keep), coder.ints(vectors)
+            vectors, ids, cell = _native(left["vec"], dim), _ids(left["qid"]), right["box"][0].as_py()
+            best = Shortest(vectors, keep, left["limit"].to_numpy())
+            chunk_ids, chunks = _ids(right["cid"]), _native(right["vec"], dim)
             codes = _matrix(right["codes"], len(coder.books)).astype(np.uint8)
-            chunk_ids, chunks, cell = _ids(right["cid"]), _matrix(right["vec"], dim), right["cell"][0].as_py()
-            for at in range(0, len(x), QUERY_ROWS):
-                who = np.arange(at, min(at + QUERY_ROWS, len(x)))
-                _offer(best, who, coder.estimates(x[who], cell, codes), ids, chunk_ids, chunks, other_only)
+            for first in range(0, len(chunks), TILE_ROWS):
+                lot = slice(first, first + TILE_ROWS)
+                decoded = coder.decoded(codes[lot])
+                for at in range(0, len(vectors), QUERY_ROWS):
+                    who = slice(at, at + QUERY_ROWS)
+                    x = coder.ints(vectors[who].astype(np.float64)) - coder.centroids[cell]
+                    _offer(best, who, squares(x, decoded), ids, chunk_ids[lot], chunks[lot], other_only)
             return best.result(ids, arrow)
 
-        return meet_in_blocks(travelling, self.table, block_rows, meet, schema)
+        table = self.table.withColumn("box", F.col("cell"))
+        travelling = written(asked.withColumn("cells", probed("vec")), "probes")
+        nearest = travelling.select("qid", "vec", F.lit(float("inf")).alias("limit"), F.try_element_at("cells", F.lit(1)).alias("cell"))
+        first = written(meet_in_blocks(nearest, table, block_rows, dim, meet, schema), "nearest")
+        # The longest estimate that is kept of the nearest cell; of fewer than ``keep`` there is no limit.
+        place = F.row_number().over(Window.partitionBy("qid").orderBy("estimate", "cid"))
+        limits = first.withColumn("_n", place).filter(F.col("_n") == keep).select("qid", F.col("estimate").alias("limit"))
+        limited = travelling.join(limits, "qid", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+        others = limited.select("qid", "vec", "limit", F.explode(F.slice("cells", 2, max(1, probes))).alias("cell"))
+        return first.unionByName(meet_in_blocks(others, table, block_rows, dim, meet, schema))
 
 
-def _offer(best: Shortest, who: np.ndarray, estimates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, chunks: np.ndarray, other_only: bool) -> None:
+def _offer(best: Shortest, who: slice, estimates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, chunks: np.ndarray, other_only: bool) -> None:
     if other_only:
         estimates[query_ids[who][:, None] == ids[None, :]] = np.inf
-    best.add(who, estimates, ids, chunks)
+    best.add(who.start, estimates, ids, chunks)
 
 
 def build_index(
@@ -301,7 +331,8 @@ def build_index(
 
     kind = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
     coded = stored.mapInArrow(encode, f"cid {kind['cid']}, cell int, codes array<smallint>, vec {kind['vec']}")
-    tasks = max(1, -(-n * dim * 4 // TASK_BYTES))
+    # Small tables keep the cores busy as well.
+    tasks = max(1, -(-n * dim * 4 // TASK_BYTES), min(chunks.sparkSession.sparkContext.defaultParallelism, n // BLOCK_ROWS))
     path = scratch_path(chunks.sparkSession, "cells")
     coded.repartitionByRange(tasks, "cell", "cid").sortWithinPartitions("cell", "cid").write.parquet(path)
     table = chunks.sparkSession.read.schema(coded.schema).parquet(path)
