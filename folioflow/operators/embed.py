@@ -5,10 +5,12 @@ The defaults hash features into buckets, so that pipelines run without a model.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,35 @@ from folioflow.operators.plugins import Plugin, apply_plugin
 from folioflow.schemas import IMAGE_DIM, TEXT_DIM
 
 
+# Numbers in sums, and words or bytes, that are worked on at a time: a batch of any size takes no more.
+SUM_CELLS = 1 << 18
+ITEMS = 1 << 18
+
+
+def row_slices(sizes: np.ndarray, rows: int, items: int = ITEMS) -> Iterator[slice]:
+    """The rows of a batch in order, at most ``rows`` at a time and, unless one row alone has more, ``items`` in ``sizes``."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        before = ends[at - 1] if at else 0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + items, "right"))))
+        yield slice(at, end)
+        at = end
+
+
+def _sizes(data: pa.Array) -> np.ndarray:
+    """Bytes or words of each row."""
+    sizes = pc.binary_length(data) if pa.types.is_binary(data.type) or pa.types.is_large_binary(data.type) else data.value_lengths()
+    return sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _in_slices(dim: int, unit: Callable[..., np.ndarray], *data: pa.Array) -> np.ndarray:
+    """``unit`` of a few rows at a time, as one array of single precision."""
+    out = np.empty((len(data[0]), dim), np.float32)
+    for rows in row_slices(sum(_sizes(column) for column in data), max(1, SUM_CELLS // dim)):
+        out[rows] = unit(*(column.slice(rows.start, rows.stop - rows.start) for column in data))
+    return out
+
+
 def _unit_rows(sums: np.ndarray) -> np.ndarray:
     norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
     return round_half_up(sums / np.where(norms == 0, 1.0, norms), 6).astype(np.float32)
@@ -25,7 +56,7 @@ def _unit_rows(sums: np.ndarray) -> np.ndarray:
 
 def _to_vectors(rows: np.ndarray, nulls: np.ndarray) -> pa.Array:
     """A list per row, null where asked. Null rows take no values."""
-    kept = rows[~nulls]
+    kept = rows[~nulls] if nulls.any() else rows
     lengths = np.where(nulls, 0, rows.shape[1])
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(kept.ravel()), mask=pa.array(nulls))
@@ -65,7 +96,7 @@ def hash_text(text: Column, dim: int = TEXT_DIM) -> Column:
 
     @F.arrow_udf("array<float>")
     def embed(words: pa.Array) -> pa.Array:
-        return _to_vectors(_unit_rows(_token_sums(words, dim)), _null_mask(words))
+        return _to_vectors(_in_slices(dim, lambda some: _unit_rows(_token_sums(some, dim)), words), _null_mask(words))
 
     return embed(tokens(text))
 
@@ -75,7 +106,7 @@ def hash_binary(data: Column, dim: int = IMAGE_DIM) -> Column:
 
     @F.arrow_udf("array<float>")
     def embed(raw: pa.Array) -> pa.Array:
-        return _to_vectors(_unit_rows(_pair_sums(raw, dim)), _null_mask(raw))
+        return _to_vectors(_in_slices(dim, lambda some: _unit_rows(_pair_sums(some, dim)), raw), _null_mask(raw))
 
     return embed(data)
 
@@ -83,10 +114,13 @@ def hash_binary(data: Column, dim: int = IMAGE_DIM) -> Column:
 def hash_multimodal(data: Column, text: Column, dim: int = IMAGE_DIM) -> Column:
     """Both of the above added up; either input may be null, both null give null."""
 
+    def unit(raw: pa.Array, words: pa.Array) -> np.ndarray:
+        both = _unit_rows(_pair_sums(raw, dim)) + _unit_rows(_token_sums(words, dim))
+        return _unit_rows(both.astype(np.float64))
+
     @F.arrow_udf("array<float>")
     def embed(raw: pa.Array, words: pa.Array) -> pa.Array:
-        both = _unit_rows(_pair_sums(raw, dim)) + _unit_rows(_token_sums(words, dim))
-        return _to_vectors(_unit_rows(both.astype(np.float64)), _null_mask(raw) & _null_mask(words))
+        return _to_vectors(_in_slices(dim, unit, raw, words), _null_mask(raw) & _null_mask(words))
 
     return embed(data, tokens(text))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.json import has_summary, parse_json_lenient, parse_json_strict, to_metadata_json
 from folioflow.functions.text import PY_WHITESPACE, model_text, py_strip, tokens
+from folioflow.operators.embed import row_slices
 from folioflow.operators.plugins import Plugin, apply_plugin
 from folioflow.schemas import CHUNK_KEY, METADATA
 from folioflow.session import written
@@ -68,19 +69,25 @@ def rule_type(text: Column) -> Column:
     return chain.otherwise(DEFAULT_TYPE)
 
 
+def _count_words(words: pa.Array) -> pa.Array:
+    lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    n_words = max(len(coded.dictionary), 1)
+    row = np.repeat(np.arange(len(words), dtype=np.int64), lengths)
+    pairs, tf = np.unique(row * n_words + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    entries = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % n_words)), pa.array(tf)], names=["word", "tf"])
+    per_row = np.bincount(pairs // n_words, minlength=len(words))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), entries)
+
+
 def token_counts(text: Column, min_chars: int = 1) -> Column:
     """``array<struct<word,tf>>``: the distinct tokens of a text with their counts."""
 
     @F.arrow_udf("array<struct<word:string,tf:bigint>>")
     def count(words: pa.Array) -> pa.Array:
-        lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        coded = words.flatten().dictionary_encode()
-        n_words = max(len(coded.dictionary), 1)
-        row = np.repeat(np.arange(len(words), dtype=np.int64), lengths)
-        pairs, tf = np.unique(row * n_words + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
-        entries = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(pairs % n_words)), pa.array(tf)], names=["word", "tf"])
-        per_row = np.bincount(pairs // n_words, minlength=len(words))
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), entries)
+        sizes = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        parts = [_count_words(words.slice(rows.start, rows.stop - rows.start)) for rows in row_slices(sizes, len(sizes))]
+        return pa.concat_arrays(parts) if parts else _count_words(words)
 
     return count(F.filter(tokens(text), lambda w: F.length(w) >= min_chars))
 
