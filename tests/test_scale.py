@@ -62,6 +62,27 @@ def test_screened_pairs_are_those_of_double_precision():
             assert best.found[q][1].tolist() == order and best.found[q][0].tolist() == dist[order].tolist()
 
 
+def test_own_rows_that_repeat_displace_no_neighbour():
+    chunks = np.random.default_rng(5).normal(size=(40, 5))
+    ids = np.arange(40) % 39
+    chunks[39] = chunks[0] + 1e-3
+    best = bounds.BoundedBest(ids[:1], chunks[:1], 3, True, bounds.Axes.fit(chunks))
+    best.add_cells(ids, chunks, np.zeros(40, np.int32), lambda rows, found: np.zeros((len(rows), len(found))))
+    far = np.sqrt(((chunks[1:39] - chunks[0]) ** 2).sum(axis=1))
+    assert best.found[0][1].tolist() == (np.argsort(far)[:3] + 1).tolist()
+
+
+def test_rows_that_come_twice_count_once_in_any_block(spark):
+    data = np.random.default_rng(6).normal(size=(60, 5))
+    rows = [(i, data[i].tolist()) for i in range(60)] + [(i, data[i].tolist()) for i in range(0, 60, 3)]
+    far = np.sqrt(((data[:, None] - data[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(far, np.inf)
+    df = spark.createDataFrame(rows, "id bigint, text_embedding array<double>")
+    for block_rows in (8, 30, 1000):
+        found = ks.knn(df, df, 4, "id", "id", dim=5, other_only=True, broadcast_bytes=0, block_rows=block_rows).collect()
+        assert sorted((r.qid, r["rank"], r.cid) for r in found) == [(q, n + 1, int(c)) for q in range(60) for n, c in enumerate(np.argsort(far[q])[:4])]
+
+
 def test_an_infinite_component_harms_no_other_row():
     chunks = np.random.default_rng(3).normal(size=(50, 6))
     chunks[7, 2] = np.inf
