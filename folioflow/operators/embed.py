@@ -21,8 +21,10 @@ from folioflow.schemas import IMAGE_DIM, TEXT_DIM
 
 
 # Numbers in sums, and words or bytes, that are worked on at a time: a batch of any size takes no more.
-SUM_CELLS = 1 << 18
-ITEMS = 1 << 18
+SUM_CELLS = 1 << 19
+ITEMS = 1 << 20
+# Words whose hashes a task keeps.
+KNOWN_WORDS = 1 << 17
 
 
 def row_slices(sizes: np.ndarray, rows: int, items: int = ITEMS) -> Iterator[slice]:
@@ -62,11 +64,21 @@ def _to_vectors(rows: np.ndarray, nulls: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(kept.ravel()), mask=pa.array(nulls))
 
 
-def _token_sums(words: pa.Array, dim: int) -> np.ndarray:
-    """Signed bucket counts per row; each distinct word of a batch is hashed once."""
+def _hash(word: str, known: dict[str, int]) -> int:
+    found = known.get(word)
+    if found is None:
+        if len(known) >= KNOWN_WORDS:
+            known.clear()
+        found = known[word] = int(md5(word.encode()).hexdigest()[:8], 16)
+    return found
+
+
+def _token_sums(words: pa.Array, dim: int, known: dict[str, int] | None = None) -> np.ndarray:
+    """Signed bucket counts per row; a distinct word is hashed once, and not again while it is ``known``."""
+    known = {} if known is None else known
     coded = words.flatten().dictionary_encode()
     lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    hashes = np.array([int(md5(w.encode()).hexdigest()[:8], 16) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    hashes = np.array([_hash(w, known) for w in coded.dictionary.to_pylist()], dtype=np.int64)
     codes = coded.indices.to_numpy(zero_copy_only=False)
     row = np.repeat(np.arange(len(words)), lengths)
     cell = row * dim + (hashes % dim)[codes] if len(codes) else row
@@ -94,9 +106,11 @@ def hash_text(text: Column, dim: int = TEXT_DIM) -> Column:
     Bucket and sign of a token come from the first eight hex digits of its md5.
     """
 
+    known: dict[str, int] = {}
+
     @F.arrow_udf("array<float>")
     def embed(words: pa.Array) -> pa.Array:
-        return _to_vectors(_in_slices(dim, lambda some: _unit_rows(_token_sums(some, dim)), words), _null_mask(words))
+        return _to_vectors(_in_slices(dim, lambda some: _unit_rows(_token_sums(some, dim, known)), words), _null_mask(words))
 
     return embed(tokens(text))
 
@@ -114,8 +128,10 @@ def hash_binary(data: Column, dim: int = IMAGE_DIM) -> Column:
 def hash_multimodal(data: Column, text: Column, dim: int = IMAGE_DIM) -> Column:
     """Both of the above added up; either input may be null, both null give null."""
 
+    known: dict[str, int] = {}
+
     def unit(raw: pa.Array, words: pa.Array) -> np.ndarray:
-        both = _unit_rows(_pair_sums(raw, dim)) + _unit_rows(_token_sums(words, dim))
+        both = _unit_rows(_pair_sums(raw, dim)) + _unit_rows(_token_sums(words, dim, known))
         return _unit_rows(both.astype(np.float64))
 
     @F.arrow_udf("array<float>")
