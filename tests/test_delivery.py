@@ -3,6 +3,7 @@
 import os
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from folioflow.sources.records import QUARANTINE, read_page_records, write_quarantine
@@ -107,3 +108,51 @@ def test_stage_1_behind_the_delivery(spark, tmp_path):
     assert ("y.pdf", 1, 2) in feed.sent()
     assert parse(stored) == ["gs://b/x.pdf", "gs://b/y.pdf"]
     assert spark.read.parquet(sp.quarantine_dir(feed.out)).filter(F.col("stage") == "fetch").count() >= 1
+
+
+def test_objects_of_one_shard(spark, tmp_path, monkeypatch):
+    """Objects that share a state and its timer keep their own generations, to the last digit, tries and delays."""
+    monkeypatch.setattr(delivery, "SHARDS", 1)
+    late = 2**60 + 1
+    feed = Feed(spark, tmp_path)
+    feed.events(*[(f"n{i}", late) for i in range(50)], ("n50", None))
+    query = feed.start(delay_s=2, max_tries=3, trigger={"processingTime": "0 seconds"}, partitions=2)
+    try:
+        wait_for(query, lambda: len(feed.sent()) == 51)
+        feed.fail("n1")
+        wait_for(query, lambda: ("n1", late, 2) in feed.sent())
+        feed.fail("n1", "n2")  # one is due after four seconds, one after two
+        feed.fail("n3", status="permanent")
+        feed.events(("n4", late), ("n5", late + 1), ("n6", late - 1), ("n50", None))
+        wait_for(query, lambda: ("n2", late, 2) in feed.sent())
+        assert ("n1", late, 3) not in feed.sent()
+        wait_for(query, lambda: ("n1", late, 3) in feed.sent())
+    finally:
+        query.stop()
+    again = [("n1", late, 2), ("n1", late, 3), ("n2", late, 2), ("n5", late + 1, 1)]
+    assert feed.sent() == sorted([(f"n{i}", late, 1) for i in range(50)] + [("n50", 0, 1)] + again)
+
+
+def test_a_batch_calls_the_state_store_once_a_shard(spark):
+    """Not once an object: that took milliseconds for each of them."""
+    calls = []
+
+    class Handle:
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            return False
+
+        def update(self, value):
+            calls.append(len(value[0]))
+
+    class Clock:
+        def getCurrentProcessingTimeInMs(self):
+            return 1
+
+    processor = delivery.Deliveries(0, 3, delivery.DAY_MS)
+    processor.init(Handle())
+    rows = pd.DataFrame([("b", f"n{i % 500}", "event", 1) for i in range(1000)], columns=["bucket", "name", "kind", "generation"])
+    sent = pd.concat(processor.handleInputRows((0,), iter([rows]), Clock()))
+    assert len(sent) == 500 and calls == [500]
