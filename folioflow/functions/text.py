@@ -99,4 +99,5 @@ def chunk_description(kind: Column, name: Column, page_num: Column, sheet: Colum
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda w: w != "")
+    # Breaks are as long as they can be, so only the ends can be empty; no lambda, which would be interpreted.
+    return F.array_remove(F.split(F.lower(text), TOKEN_BREAK), "")

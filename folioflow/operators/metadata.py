@@ -37,6 +37,8 @@ TYPE_RULES = [
 ]
 DEFAULT_TYPE = "other"
 MAX_KEYWORDS = 5
+# Words whose statistics are broadcast: all if there are no more, else those that stand in most pages.
+SHARED_WORDS = 400_000
 
 
 def lead_summary(text: Column) -> Column:
@@ -89,7 +91,8 @@ def token_counts(text: Column, min_chars: int = 1) -> Column:
         parts = [_count_words(words.slice(rows.start, rows.stop - rows.start)) for rows in row_slices(sizes, len(sizes))]
         return pa.concat_arrays(parts) if parts else _count_words(words)
 
-    return count(F.filter(tokens(text), lambda w: F.length(w) >= min_chars))
+    words = tokens(text)
+    return count(F.filter(words, lambda w: F.length(w) >= min_chars) if min_chars > 1 else words)
 
 
 def word_stats(df: DataFrame, text: str) -> DataFrame:
@@ -110,21 +113,32 @@ def keyword_scores(df: DataFrame, key: list[str], text: str, stats: DataFrame |
 
     ``stats`` is a table as :func:`word_stats` gives; without it the given rows are the corpus.
     Words are counted once, inside each row, and the counts written, because both the document
-    frequencies and the scores come from them. A word found in every page is a hot join key;
-    both sides of the join are scans, so Spark splits it.
+    frequencies and the scores come from them. Words found in many pages, which are most of the
+    rows, meet their statistics where they lie; only rare ones are shuffled.
     """
     counts = written(df.select(*key, F.inline(token_counts(F.col(text), min_chars))), "words")
     if stats is None:
         # Pages without words count as well.
         stats = written(_stats_of(counts, F.lit(df.count())), "stats")
-    weighted = counts.join(stats, "word", "left")
+    weighted = _with_stats(counts, stats)
     score = F.round(F.col("tf") * F.log((F.col("total") + 1) / (F.coalesce("df", F.lit(0)) + 1)), 6)
     return weighted.select(*key, "word", F.coalesce(score, F.col("tf").cast("double")).alias("score"))
 
 
+def _with_stats(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """``counts`` with ``df`` and ``total`` of their words, null where there are none; both are written tables."""
+    if stats.limit(SHARED_WORDS + 1).count() <= SHARED_WORDS:
+        return counts.join(F.broadcast(stats), "word", "left")
+    common = written(stats.orderBy(F.desc("df"), "word").limit(SHARED_WORDS), "common")
+    near = counts.join(F.broadcast(common), "word")
+    rare = counts.join(F.broadcast(common.select("word")), "word", "left_anti")
+    return near.unionByName(rare.join(stats, "word", "left"))
+
+
 def top_keywords(df: DataFrame, key: list[str], text: str, k: int = MAX_KEYWORDS, stats: DataFrame | None = None, min_chars: int = 1) -> DataFrame:
     """``key, keywords``: the best ``k`` words by score, ties by word; pages without words are absent."""
-    best = Window.partitionBy(*key).orderBy(F.desc("score"), "word")
+    # A number leads the sort: keys are long texts that begin alike.
+    best = Window.partitionBy(F.xxhash64(*key), *key).orderBy(F.desc("score"), "word")
     ranked = keyword_scores(df, key, text, stats, min_chars).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     listed = F.array_sort(F.collect_list(F.struct("rank", "word")))
     return ranked.groupBy(*key).agg(F.transform(listed, lambda x: x["word"]).alias("keywords"))

@@ -607,7 +607,8 @@ def store_rows(spark, sf):
         fj.json_field(F.try_parse_json("metadata"), "summary").alias("summary"),
         F.size("text_embedding").alias("text_dims"),
     )
-    return oc.order_pages(shown)
+    # Sorting reads its input twice.
+    return oc.order_pages(written(shown, "shown"))
 
 
 @query("""SELECT 'doc' AS kind, doc_id, CASE WHEN length(text) > 1024 THEN 'source_too_long' ELSE 'ok' END AS status FROM documents

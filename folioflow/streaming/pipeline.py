@@ -42,6 +42,8 @@ from folioflow.sources.records import (
 AVAILABLE_NOW = {"availableNow": True}
 # Tries of an object or page, the first one included, before a transient failure is left alone.
 MAX_TRIES = 5
+# Events of a batch that are broadcast to the table of objects.
+SHARED_EVENTS = 500_000
 
 # Gets events (bucket, name, ...) and returns those whose object exists, with text and content.
 Loader = Callable[[DataFrame], DataFrame]
@@ -66,9 +68,14 @@ def quarantine_dir(out: str) -> str:
 def from_table(files: DataFrame) -> Loader:
     """Objects that live in a table ``bucket, name, text`` (and ``content``).
 
-    An inner join, so that the small side, which is the batch of events, can be broadcast.
+    An inner join; a batch of up to SHARED_EVENTS events is broadcast, so that it does not shuffle the whole table.
     """
-    return lambda events: files.join(events, ["bucket", "name"])
+
+    def load(events: DataFrame) -> DataFrame:
+        few = events.limit(SHARED_EVENTS + 1).count() <= SHARED_EVENTS
+        return files.join(F.broadcast(events) if few else events, ["bucket", "name"])
+
+    return load
 
 
 def from_folder(spark: SparkSession, root: str) -> Loader:

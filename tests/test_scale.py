@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.operators import blocks, bounds, cells, embed, metadata
 from folioflow.operators import search as ks
+from folioflow.streaming import pipeline
 
 
 def peak(run):
@@ -140,3 +141,33 @@ def test_words_are_counted_a_part_of_a_batch_at_a_time(monkeypatch):
         counted = pa.concat_arrays([metadata._count_words(words.slice(s.start, s.stop - s.start)) for s in parts])
         as_sets = [sorted((e["word"], e["tf"]) for e in row) for row in counted.to_pylist()]
         assert as_sets == [[("a", 2), ("b", 1)], [], [], [("c", 9)], [("a", 1), ("b", 1)]]
+
+
+def test_common_words_meet_their_statistics_where_they_lie(spark, monkeypatch):
+    """Statistics of more words than are shared: the same scores, and only rare words are shuffled to them."""
+    rows = [(f"f{i}", "", 1, f"the w{i} of w{i % 3} the") for i in range(30)] + [("e", "", 1, "")]
+    pages = spark.createDataFrame(rows, "source_file string, part string, page_num int, page_text string")
+    given = spark.createDataFrame([("the", 30, 31), ("of", 30, 31), ("w1", 11, 31), ("w2", 11, 31), ("w7", 1, 31)], "word string, df bigint, total bigint")
+
+    def scores(stats):
+        found = metadata.keyword_scores(pages, ["source_file", "part", "page_num"], "page_text", stats)
+        return sorted(map(tuple, found.collect()))
+
+    whole = [scores(None), scores(given)]
+    monkeypatch.setattr(metadata, "SHARED_WORDS", 2)
+    assert [scores(None), scores(given)] == whole
+
+
+def test_a_small_batch_of_events_does_not_shuffle_the_objects(spark):
+    """Whatever Spark takes the batch's size for."""
+    objects = spark.range(1000).selectExpr("'b' AS bucket", "concat('n', id) AS name", "'t' AS text")
+    events = objects.filter("name < 'n2'").select("bucket", "name")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pipeline.from_table(objects)(events)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert found.count() == events.count()
