@@ -37,8 +37,8 @@ TYPE_RULES = [
 ]
 DEFAULT_TYPE = "other"
 MAX_KEYWORDS = 5
-# Words whose statistics are broadcast: all if there are no more, else those that stand in most pages.
-SHARED_WORDS = 400_000
+# Words whose statistics are broadcast: all if there are no more, else at most so many of those that stand in most pages.
+SHARED_WORDS = 1_000_000
 
 
 def lead_summary(text: Column) -> Column:
@@ -127,9 +127,19 @@ def keyword_scores(df: DataFrame, key: list[str], text: str, stats: DataFrame |
 
 def _with_stats(counts: DataFrame, stats: DataFrame) -> DataFrame:
     """``counts`` with ``df`` and ``total`` of their words, null where there are none; both are written tables."""
-    if stats.limit(SHARED_WORDS + 1).count() <= SHARED_WORDS:
+    # Words by the power of two in their df: some thirty numbers.
+    power = F.floor(F.log2("df"))
+    n, least = 0, None
+    sizes = stats.groupBy(power.alias("power")).agg(F.count("*").alias("n")).orderBy(F.desc_nulls_last("power")).collect()
+    for size in sizes:
+        n += size.n
+        if n <= SHARED_WORDS:
+            least = size.power
+    if n <= SHARED_WORDS:
         return counts.join(F.broadcast(stats), "word", "left")
-    common = written(stats.orderBy(F.desc("df"), "word").limit(SHARED_WORDS), "common")
+    if least is None:
+        return counts.join(stats, "word", "left")
+    common = stats.filter(power >= least)
     near = counts.join(F.broadcast(common), "word")
     rare = counts.join(F.broadcast(common.select("word")), "word", "left_anti")
     return near.unionByName(rare.join(stats, "word", "left"))
