@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions.rounding import round_half_up
-from folioflow.operators.blocks import meet_in_blocks
+from folioflow.operators.blocks import lay_out, meet_in_blocks, parts_of, sizes_of
 from folioflow.operators.search import BLOCK_ROWS, BROADCAST_BYTES, CELL_QUERIES, DIGITS, PAIR_CELLS, _hit_schema, _ids, _knn_broadcast, _matrix, _native, _pick, _settled, _take_best
 from folioflow.session import scratch_path, written
 
@@ -290,15 +290,16 @@ class CellIndex:
             return best.result(ids, arrow)
 
         table = self.table.withColumn("box", F.col("cell"))
+        laid = lay_out(table, "cid", parts_of(sizes_of(table), block_rows, dim), "chunk-blocks")
         travelling = written(asked.withColumn("cells", probed("vec")), "probes")
         nearest = travelling.select("qid", "vec", F.lit(float("inf")).alias("limit"), F.try_element_at("cells", F.lit(1)).alias("cell"))
-        first = written(meet_in_blocks(nearest, table, block_rows, dim, meet, schema), "nearest")
+        first = written(meet_in_blocks(nearest, table, block_rows, dim, meet, schema, laid), "nearest")
         # The longest estimate that is kept of the nearest cell; of fewer than ``keep`` there is no limit.
         place = F.row_number().over(Window.partitionBy("qid").orderBy("estimate", "cid"))
         limits = first.withColumn("_n", place).filter(F.col("_n") == keep).select("qid", F.col("estimate").alias("limit"))
         limited = travelling.join(limits, "qid", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
         others = limited.select("qid", "vec", "limit", F.explode(F.slice("cells", 2, max(1, probes))).alias("cell"))
-        return first.unionByName(meet_in_blocks(others, table, block_rows, dim, meet, schema))
+        return first.unionByName(meet_in_blocks(others, table, block_rows, dim, meet, schema, laid))
 
 
 def _offer(best: Shortest, who: slice, estimates: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, chunks: np.ndarray, other_only: bool) -> None:
