@@ -94,16 +94,21 @@ def append_eval(rows: DataFrame, folder: str) -> DataFrame:
     return stamped
 
 
-def write_quarantine(rows: DataFrame, folder: str, stage: str) -> None:
-    """Append refused inputs as JSON text with their status, one layout for every stage; nothing if there are none."""
-    if rows.isEmpty():
-        return
-    status = F.col("status")
+def refused_rows(rows: DataFrame, stage: str) -> DataFrame:
+    """Refused inputs as JSON text with their status, one layout for every stage."""
     error = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")
     body = F.to_json(F.struct(*[c for c in rows.columns if c not in ("status", "error")]))
-    rows.select(
-        F.lit(stage).alias("stage"), status, error.alias("error"), body.alias("body"), F.current_timestamp().alias("at")
-    ).write.mode("append").parquet(folder)
+    return rows.select(F.lit(stage).alias("stage"), F.col("status"), error.alias("error"), body.alias("body"), F.current_timestamp().alias("at"))
+
+
+def append_quarantine(refused: DataFrame, folder: str) -> None:
+    """Append rows of :func:`refused_rows`; nothing if there are none."""
+    if not refused.isEmpty():
+        refused.write.mode("append").parquet(folder)
+
+
+def write_quarantine(rows: DataFrame, folder: str, stage: str) -> None:
+    append_quarantine(refused_rows(rows, stage), folder)
 
 
 def read_quarantine(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,8 +7,10 @@ whose key is in the ledger, and readers of the store see the newest row per key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from hashlib import md5
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,11 +29,13 @@ from folioflow.sources.events import emit_backfill_events, read_events_stream
 from folioflow.sources.files import read_objects
 from folioflow.sources.records import (
     CORRUPT,
+    append_quarantine,
     read_done_files,
     read_page_keys,
     read_page_records,
     read_quarantine,
     read_store,
+    refused_rows,
     upsert_store,
     write_done_files,
     write_page_keys,
@@ -44,6 +48,8 @@ AVAILABLE_NOW = {"availableNow": True}
 MAX_TRIES = 5
 # Events of a batch that are broadcast to the table of objects.
 SHARED_EVENTS = 500_000
+# Files of the table of objects that a batch names to open no others.
+NAMED_FILES = 1000
 
 # Gets events (bucket, name, ...) and returns those whose object exists, with text and content.
 Loader = Callable[[DataFrame], DataFrame]
@@ -68,16 +74,33 @@ def quarantine_dir(out: str) -> str:
 def from_table(files: DataFrame) -> Loader:
     """Objects that live in a table ``bucket, name, text`` (and ``content``).
 
-    An inner join; a batch of up to SHARED_EVENTS events is broadcast, so that it does not shuffle the whole table.
+    An inner join. A batch of up to SHARED_EVENTS events is broadcast, so that it does not shuffle the whole table; of a
+    table of files, only those are opened in which its objects lie. These may be few, so what is found is spread over the
+    cores.
     """
 
     def load(events: DataFrame) -> DataFrame:
-        few = events.limit(SHARED_EVENTS + 1).count() <= SHARED_EVENTS
-        return files.join(F.broadcast(events) if few else events, ["bucket", "name"])
+        if events.limit(SHARED_EVENTS + 1).count() > SHARED_EVENTS:
+            return files.join(events, ["bucket", "name"])
+        found = _in_files(files, events).join(F.broadcast(events), ["bucket", "name"])
+        return found.repartition(files.sparkSession.sparkContext.defaultParallelism, "bucket", "name")
 
     return load
 
 
+def _in_files(files: DataFrame, events: DataFrame) -> DataFrame:
+    """The rows of the stored files in which the objects of ``events`` lie; all rows of a table that is not read from files,
+    or if there are more than NAMED_FILES of them. The search reads the names alone."""
+    keys, path = ["bucket", "name"], F.col("_metadata.file_path")
+    try:
+        lying = files.select(*keys, path.alias("_path"))
+    except AnalysisException:
+        return files
+    found = lying.join(F.broadcast(events), keys, "left_semi").select("_path").distinct().limit(NAMED_FILES + 1).collect()
+    paths = [row._path for row in found]
+    return files if len(paths) > NAMED_FILES or None in paths else files.filter(path.isin(paths))
+
+
 def from_folder(spark: SparkSession, root: str) -> Loader:
     """Objects in a folder, opened by name inside the tasks; nothing is listed.
 
@@ -113,7 +136,6 @@ def parse_events(
 
     try:
         good, refused = split_status(hold(route_files(events)))
-        write_quarantine(refused, quarantine, "event")
         good = good.select("bucket", "name").distinct().withColumn("source_file", source_uri(F.col("bucket"), F.col("name")))
         if skip_files and not reprocess:
             good = good.join(read_done_files(spark, files_dir(out), good), "source_file", "left_anti")
@@ -121,11 +143,11 @@ def parse_events(
         files = hold(load(good))
         lost = good.join(files.select("bucket", "name"), ["bucket", "name"], "left_anti")
         not_found = {"status": F.lit("transient"), "error": F.lit("NotFound: no such object")}
-        write_quarantine(lost.withColumns(not_found), quarantine, "fetch")
         # Pages and sheets are made from text; bytes of a codec wait for one.
         unread = F.col("text").isNull() & route(F.col("name")).isin("pdf", "sheet")
         why = {"status": F.lit("undecoded"), "error": F.lit("Undecoded: the content is no text")}
-        write_quarantine(files.filter(unread).select("bucket", "name").withColumns(why), quarantine, "decode")
+        kept_out = [(refused, "event"), (lost.withColumns(not_found), "fetch"), (files.filter(unread).select("bucket", "name").withColumns(why), "decode")]
+        append_quarantine(reduce(DataFrame.unionByName, [refused_rows(*some) for some in kept_out]), quarantine)
         files = files.filter(~unread)
 
         todo = build_chunks(files, page_lines)
